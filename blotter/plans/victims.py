@@ -59,21 +59,19 @@ def victims_by_zip(
 ) -> DataFrame:
     """zip, victim_descent, victims; a code without a label is counted under null.
 
-    Incidents are counted per point and code before they meet the lookup. Each point
-    has one ZIP, so the counts can be added up afterwards, and a point or code with a
+    Incidents are counted per point and label before they meet the lookup. Each point
+    has one ZIP, so the counts can be added up afterwards, and a point or label with a
     large part of all incidents is folded in the map tasks instead of being shuffled.
     """
+    code = F.col("Vict Descent")
     per_point = (
-        incidents.where(in_year(F.col("DATE OCC"), year) & F.col("Vict Descent").isNotNull())
-        .groupBy("LAT", "LON", "Vict Descent")
+        incidents.where(in_year(F.col("DATE OCC"), year) & code.isNotNull())
+        .groupBy("LAT", "LON", decode(code, DESCENTS).alias("victim_descent"))
         .agg(F.count("*").alias("victims"))
     )
     return (
         equi_join(per_point, zip_lookup(geocode), ["LAT", "LON"], strategy)
-        .groupBy(
-            F.col("zip_code").try_cast("bigint").alias("zip"),
-            decode(F.col("Vict Descent"), DESCENTS).alias("victim_descent"),
-        )
+        .groupBy(F.col("zip_code").try_cast("bigint").alias("zip"), "victim_descent")
         .agg(F.sum("victims").alias("victims"))
     )
 
@@ -137,13 +135,14 @@ def victims_by_income_sql(
             GROUP BY LAT, LON
         ),
         per_point AS (
-            SELECT LAT, LON, `Vict Descent` AS code, count(*) AS victims
+            SELECT LAT, LON, CASE `Vict Descent` {labels} END AS victim_descent,
+                   count(*) AS victims
             FROM incidents
             WHERE substring(`DATE OCC`, 7, 4) = :year AND `Vict Descent` IS NOT NULL
             GROUP BY ALL
         ),
         per_label AS (
-            SELECT zip, CASE code {labels} END AS victim_descent, sum(victims) AS victims
+            SELECT zip, victim_descent, sum(victims) AS victims
             FROM per_point JOIN lookup USING (LAT, LON)
             GROUP BY ALL
         ),

@@ -59,10 +59,5 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_parquet(
-    df: DataFrame, path: str, mode: str = "error", partition_by: Sequence[str] = ()
-) -> None:
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
+    df.write.mode(mode).parquet(path)

@@ -1,0 +1,111 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from blotter import functions as fn
+from blotter.plans.victims import DESCENTS
+
+
+def values(spark, rows, type_, expression):
+    df = spark.createDataFrame([(row,) for row in rows], f"x {type_}")
+    return [row[0] for row in df.select(expression(F.col("x"))).collect()]
+
+
+def test_text_dates(spark):
+    dates = ["01/08/2020 12:00:00 AM", "12/31/2015 11:59:00 PM", "short", "", None]
+    assert values(spark, dates, "string", fn.text_year) == ["2020", "2015", "", "", None]
+    assert values(spark, dates, "string", fn.text_month) == ["01", "12", "sh", "", None]
+    in_2015 = values(spark, dates, "string", lambda x: fn.in_year(x, 2015))
+    assert in_2015 == [False, True, False, False, None]
+
+
+SEGMENTS = {
+    "500": ("Morning", "Morning"),
+    "0500": ("Morning", "Morning"),
+    "1159": ("Morning", "Morning"),
+    "1160": ("NA", "NA"),
+    "1199": ("NA", "NA"),
+    "1200": ("Afternoon", "Afternoon"),
+    "1659": ("Afternoon", "Afternoon"),
+    "1660": ("NA", "NA"),
+    "1700": ("Evening", "Evening"),
+    "2059": ("Evening", "Evening"),
+    "2060": ("NA", "NA"),
+    "2100": ("Night", "Night"),
+    "2359": ("Night", "Night"),
+    "2360": ("Night", "NA"),
+    "2400": ("Night", "NA"),
+    "99999999999": ("Night", "NA"),
+    "0": ("Night", "Night"),
+    "459": ("Night", "Night"),
+    "460": ("NA", "Night"),
+    "499": ("NA", "Night"),
+    "-1": ("Night", "NA"),
+    "noon": ("NA", "NA"),
+    "12.30": ("NA", "NA"),
+    "": ("NA", "NA"),
+    None: ("NA", "NA"),
+}
+
+
+@pytest.mark.parametrize("bounded", [False, True])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_time_segments(spark, bounded, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = values(spark, list(SEGMENTS), "string", lambda x: fn.time_segment(x, bounded))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert got == [pair[bounded] for pair in SEGMENTS.values()]
+
+
+def test_time_segments_of_numbers(spark):
+    assert values(spark, [415, 1200, None], "int", fn.time_segment) == ["Night", "Afternoon", "NA"]
+
+
+def test_first_token(spark):
+    written = ["90013; 90015:90015", "90015-3018", "90001", "", ";90001", None]
+    expected = ["90013", "90015", "90001", "", "", None]
+    assert values(spark, written, "string", fn.first_token) == expected
+
+
+def test_parse_money(spark):
+    written = ["$33,887", "$1,234,567", "12", "-$1,000", "unknown", "", None]
+    expected = [33887.0, 1234567.0, 12.0, -1000.0, None, None, None]
+    assert values(spark, written, "string", fn.parse_money) == expected
+
+
+def test_decode(spark):
+    codes = [*DESCENTS, "-", "h", "", None]
+    expected = [*DESCENTS.values(), None, None, None, None]
+    assert values(spark, codes, "string", lambda x: fn.decode(x, DESCENTS)) == expected
+    assert len(DESCENTS) == 19
+
+
+def great_circle(lat1, lon1, lat2, lon2):
+    """An independent formula: the angle between two vectors from the centre."""
+    a, b = (
+        (math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat))
+        for lat, lon in ((math.radians(x), math.radians(y)) for x, y in ((lat1, lon1), (lat2, lon2)))
+    )
+    cross = math.hypot(
+        a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]
+    )
+    return 6371 * math.atan2(cross, sum(x * y for x, y in zip(a, b)))
+
+
+def test_haversine(spark):
+    points = [
+        (34.0459, -118.2545, 33.9386, -118.2754),
+        (34.0, -118.0, 34.0, -118.0),
+        (0.0, 0.0, 0.0, 90.0),
+        (-45.0, 170.0, 45.0, -170.0),
+        (89.9, 10.0, -89.0, 100.0),
+    ]
+    df = spark.createDataFrame(points, "a double, b double, c double, d double")
+    got = df.select(fn.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()
+    for (km,), point in zip(got, points):
+        assert km == pytest.approx(great_circle(*point), abs=1e-6)
+    null = df.select(fn.haversine_km(F.lit(None), F.col("b"), F.col("c"), F.col("d")))
+    assert null.first()[0] is None

@@ -1,0 +1,210 @@
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from plan import executed_plan, planned
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from blotter.operators import equi_join, fits_broadcast, pair_join
+
+STRATEGIES = [None, "broadcast", "merge", "shuffle_hash", "repartition", "shuffle_replicate_nl"]
+
+LEFT = "id int, area int, name string"
+RIGHT = "prec int, name string, extra string"
+ON = [("area", "prec")]
+
+
+def brute_force(left, right):
+    return Counter(
+        (id_, area, name, prec, extra)
+        for id_, area, _ in left
+        for prec, name, extra in right
+        if area is not None and area == prec
+    )
+
+
+def rows_of(df):
+    return Counter(map(tuple, df.collect()))
+
+
+@pytest.fixture
+def sides(spark):
+    left = [(1, 1, "a"), (2, 1, "b"), (2, 1, "b"), (3, 2, None), (4, 9, "d"), (5, None, "e")]
+    right = [(1, "x", "p"), (1, "y", None), (2, "z", "q"), (8, "w", "r"), (None, "n", "s")]
+    return left, right
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_rows_and_columns(spark, sides, strategy):
+    left, right = sides
+    df = equi_join(
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ON, strategy
+    )
+    # The right name replaces the left one in its place, right-only columns follow.
+    assert df.columns == ["id", "area", "name", "prec", "extra"]
+    assert rows_of(df) == brute_force(left, right)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@settings(
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(data=st.data())
+def test_any_keys(spark, strategy, data):
+    key = st.one_of(st.none(), st.integers(0, 3))
+    left = [
+        (i, k, "l") for i, k in enumerate(data.draw(st.lists(key, min_size=1, max_size=40)))
+    ]
+    right = [
+        (k, f"n{i}", "r") for i, k in enumerate(data.draw(st.lists(key, min_size=1, max_size=12)))
+    ]
+    df = equi_join(
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ON, strategy
+    )
+    assert rows_of(df) == brute_force(left, right)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_composite_float_keys(spark, strategy):
+    schema = "lat double, lon double, v int"
+    nan = float("nan")
+    left = spark.createDataFrame([(0.0, 1.0, 1), (-0.0, 1.0, 2), (nan, 1.0, 3), (2.0, None, 4)], schema)
+    right = spark.createDataFrame([(0.0, 1.0, 7), (nan, 1.0, 8), (2.0, None, 9)], schema)
+    df = equi_join(left, right.withColumnRenamed("v", "w"), ["lat", "lon"], strategy)
+    assert df.columns == ["lat", "lon", "v", "w"]
+    assert sorted((row.v, row.w) for row in df.collect()) == [(1, 7), (2, 7), (3, 8)]
+
+
+def test_names_with_blanks_and_dots(spark):
+    left = spark.createDataFrame([(1, "x")], "`DATE OCC` int, `a.b` string")
+    right = spark.createDataFrame([(1, "y")], "PREC int, `c``d` string")
+    for strategy in STRATEGIES:
+        df = equi_join(left, right, [("DATE OCC", "PREC")], strategy)
+        assert [tuple(row) for row in df.collect()] == [(1, "x", 1, "y")]
+
+
+def test_self_join(spark):
+    df = spark.range(5).withColumn("v", F.col("id") * 2)
+    for strategy in STRATEGIES:
+        assert equi_join(df, df, ["id"], strategy).count() == 5
+
+
+def test_nested_columns(spark):
+    left = spark.createDataFrame([(1, [1, 2], {"a": 1})], "k int, xs array<int>, m map<string,int>")
+    right = spark.createDataFrame([(1, ("q",))], "k int, s struct<z:string>")
+    for strategy in STRATEGIES:
+        row = equi_join(left, right, ["k"], strategy).first()
+        assert row == Row(k=1, xs=[1, 2], m={"a": 1}, s=Row(z="q"))
+
+
+@pytest.mark.parametrize("strategy", [None, "broadcast", "repartition"])
+def test_pairs_keep_both_rows(spark, sides, strategy):
+    left, right = sides
+    df = pair_join(
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ON[0], strategy
+    )
+    assert df.columns == ["key", "left", "right"]
+    assert df.schema["left"].dataType.names == ["id", "area", "name"]
+    assert df.schema["right"].dataType.names == ["prec", "name", "extra"]
+    pairs = Counter((row.key, row.left.id, row.right.name) for row in df.collect())
+    assert pairs == Counter(
+        (area, id_, name)
+        for id_, area, _ in left
+        for prec, name, _ in right
+        if area is not None and area == prec
+    )
+
+
+def test_unknown_strategy(spark):
+    with pytest.raises(ValueError, match="nested"):
+        equi_join(spark.range(1), spark.range(1), ["id"], "nested")
+
+
+@pytest.mark.parametrize(
+    ("strategy", "operator"),
+    [
+        ("broadcast", "BroadcastHashJoin"),
+        ("merge", "SortMergeJoin"),
+        ("shuffle_hash", "ShuffledHashJoin"),
+        ("repartition", "ShuffledHashJoin"),
+        ("shuffle_replicate_nl", "ShuffledHashJoin"),
+    ],
+)
+def test_strategy_is_planned(spark, strategy, operator):
+    left, right = spark.range(1000), spark.range(100)
+    plan = executed_plan(equi_join(left, right, ["id"], strategy))
+    joins = [name for name in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin") if name in plan]
+    assert joins == [operator]
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_broadcast_is_checked(spark):
+    left = spark.range(1000).withColumn("k", F.col("id") % 7)
+    right = spark.range(7).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 100).alias("text"))
+    assert fits_broadcast(right, 7 * (8 + 8 + 100))
+    assert not fits_broadcast(right, 7 * (8 + 8 + 100) - 1)
+    assert fits_broadcast(right.limit(0), 0)
+
+    small = planned(equi_join(left, right, ["k"], "broadcast"))
+    large = planned(equi_join(left, right, ["k"], "broadcast", broadcast_limit=100))
+    assert "BroadcastHashJoin [k" in small and "ShuffledHashJoin" not in small
+    assert "ShuffledHashJoin" in large
+    assert equi_join(left, right, ["k"], "broadcast", broadcast_limit=100).count() == 1000
+
+
+def test_partitions(spark):
+    left, right = spark.range(1000), spark.range(1000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        many = equi_join(left, right, ["id"], "repartition", partitions=16)
+        assert many.rdd.getNumPartitions() == 16
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        few = equi_join(left, right, ["id"], "repartition", partitions=4)
+        assert few.rdd.getNumPartitions() == 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert many.count() == few.count() == 1000
+
+
+def rows_per_partition(df):
+    counts = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    return sorted((row.n for row in counts), reverse=True)
+
+
+@pytest.mark.parametrize("copies", [False, True], ids=["distinct rows", "one row copied"])
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_hot_key_is_spread(spark, hot_side, copies):
+    """A third of all rows has one key; no task may get them all."""
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    value = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")) if copies else F.col("id")
+    big = spark.range(0, n, 1, 16).select(key.alias("k"), value.alias("v"))
+    small = spark.range(-1, n, 1, 16).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    left, right = (big, small) if hot_side == "left" else (small, big)
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        df = equi_join(left, right, ["k"], "repartition")
+        sizes = rows_per_partition(df)
+        plain = rows_per_partition(equi_join(left, right, ["k"], "shuffle_hash"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == sum(plain) == n
+    assert plain[0] > n / 3
+    assert sizes[0] < n / 6
+
+
+def test_lost_task_gives_the_same_rows(spark):
+    """The pieces of a row do not change from run to run."""
+    left = spark.range(0, 5000, 1, 8).select((F.col("id") % 2).alias("k"), F.lit("same").alias("v"))
+    right = spark.range(2).select(F.col("id").alias("k"), F.lit("r").alias("w"))
+    df = equi_join(left, right, ["k"], "repartition")
+    assert "__left_piece" in planned(df)
+    assert df.count() == df.count() == 5000
+    assert rows_of(df) == Counter({(0, "same", "r"): 2500, (1, "same", "r"): 2500})

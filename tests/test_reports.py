@@ -1,0 +1,230 @@
+"""The reports on small tables with every kind of dirty row, against plain Python."""
+
+from collections import Counter
+
+import pytest
+from plan import executed_plan, planned
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from blotter import plans
+from blotter.operators import equi_join
+from blotter.plans.distances import AREA_OF_STATION
+from blotter.plans.victims import DESCENTS
+
+INCIDENT = (
+    "DR_NO bigint, `DATE OCC` string, `TIME OCC` string, AREA int, `Premis Desc` string, "
+    "`Vict Descent` string, `Weapon Used Cd` int, LAT double, LON double"
+)
+
+
+def incident(n, date="03/04/2015 12:00:00 AM", time="0900", area=1, premises="STREET",
+             descent="H", weapon=150, lat=34.0, lon=-118.0):
+    return (n, date, time, area, premises, descent, weapon, lat, lon)
+
+
+def test_top_months(spark):
+    counts = {"01/2010": 5, "02/2010": 5, "03/2010": 4, "04/2010": 4, "05/2010": 3, "07/2011": 1}
+    dates = [f"{m}/01/{y} 01:00:00 AM" for key, n in counts.items() for m, y in [key.split("/")] * n]
+    df = spark.createDataFrame([incident(i, d) for i, d in enumerate(dates)], INCIDENT)
+    expected = [
+        ("2010", "01", 5, 1), ("2010", "02", 5, 1), ("2010", "03", 4, 3), ("2010", "04", 4, 3),
+        ("2011", "07", 1, 1),
+    ]
+    frame, sql = plans.top_months(df), plans.top_months_sql(df)
+    assert frame.columns == ["Year", "Month", "crime_total", "rank"]
+    assert sql.columns == ["year", "month", "crime_total", "ranking"]
+    assert [tuple(r) for r in frame.collect()] == [tuple(r) for r in sql.collect()] == expected
+
+
+def test_street_segments(spark):
+    times = ["0900", "0901", "1300", "2359", "2400", "0459", "0470", "-1", "late", None, "1160"]
+    rows = [incident(i, time=t) for i, t in enumerate(times)]
+    rows += [incident(90, premises="street"), incident(91, premises=None)]
+    df = spark.createDataFrame(rows, INCIDENT)
+    unbounded = [(4, "NA"), (4, "Night"), (2, "Morning"), (1, "Afternoon")]
+    bounded = [(5, "NA"), (3, "Night"), (2, "Morning"), (1, "Afternoon")]
+    assert [tuple(r) for r in plans.street_segments(df).collect()] == unbounded
+    assert [tuple(r) for r in plans.street_segments_sql(df).collect()] == unbounded
+    assert [tuple(r) for r in plans.street_segments(df, bounded=True).collect()] == bounded
+    assert [tuple(r) for r in plans.busiest_segments(df, k=2).collect()] == bounded[:2]
+
+
+@pytest.fixture
+def city(spark):
+    """Points with several ZIPs, unknown codes, points and ZIPs without a partner."""
+    points = [(34.0 + i / 10, -118.0) for i in range(6)]
+    codes = ["H", "W", "-", "B", None]
+    rows = [
+        incident(i, lat=points[i % 6][0], lon=points[i % 6][1], descent=codes[i % 5],
+                 date="03/04/2015 12:00:00 AM" if i % 4 else "bad")
+        for i in range(200)
+    ]
+    rows += [incident(900, lat=None), incident(901, lat=77.0)]
+    geocode = [
+        (*points[0], "90003; 90001"), (*points[0], "90004-11"), (*points[1], "90002"),
+        (*points[1], "90002"), (*points[2], "90005:1"), (*points[3], ""), (*points[4], "90007"),
+        (*points[5], "n/a"), (None, -118.0, "90001"), (99.0, 1.0, "90001"),
+    ]
+    incomes = [
+        (90001, "c", "$1"), (90002, "c", "$30,000"), (90003, "c", "$20,000"),
+        (90005, "c", "$20,000"), (90007, "c", "$90,000"), (90009, "c", None), (None, "c", "$2"),
+    ]
+    return rows, geocode, incomes
+
+
+def victims_in_python(rows, geocode, incomes, lowest, areas=3):
+    lookup = {}
+    for lat, lon, written in geocode:
+        if lat is None:  # a missing coordinate matches nothing
+            continue
+        token = written.replace(":", ";").replace("-", ";").split(";")[0]
+        lookup[lat, lon] = min(lookup.get((lat, lon), token), token)
+    located = [
+        (DESCENTS.get(row[5]), int(lookup[row[7], row[8]]))
+        for row in rows
+        if row[1][6:10] == "2015" and row[5] is not None
+        and lookup.get((row[7], row[8]), "").isdigit()
+    ]
+    found = {zip_ for _, zip_ in located}
+    money = [
+        (int(text.strip("$").replace(",", "")) * (1 if lowest else -1), zip_)
+        for zip_, _, text in incomes
+        if zip_ in found and text is not None
+    ]
+    picked = {zip_ for _, zip_ in sorted(money)[:areas]}
+    return Counter(label for label, zip_ in located if zip_ in picked)
+
+
+@pytest.mark.parametrize("lowest", [True, False])
+@pytest.mark.parametrize(
+    "strategy",
+    [None, "broadcast", "merge", "shuffle_hash", "repartition", "shuffle_replicate_nl", "sql"],
+)
+def test_victims(spark, city, lowest, strategy):
+    rows, geocode, incomes = city
+    frames = (
+        spark.createDataFrame(rows, INCIDENT),
+        spark.createDataFrame(geocode, "LAT double, LON double, ZIPcode string"),
+        spark.createDataFrame(
+            incomes, "`Zip Code` int, Community string, `Estimated Median Income` string"
+        ),
+    )
+    for areas in (1, 3):
+        if strategy == "sql":
+            df = plans.victims_by_income_sql(*frames, lowest=lowest, areas=areas)
+        else:
+            df = plans.victims_by_income(*frames, lowest=lowest, areas=areas, strategy=strategy)
+        got = df.collect()
+        expected = victims_in_python(rows, geocode, incomes, lowest, areas)
+        assert {r.victim_descent: r.victims for r in got} == expected and None in expected
+        assert [r.victims for r in got] == sorted(expected.values(), reverse=True)
+
+
+def test_a_zip_listed_twice_takes_two_places(spark):
+    """As when the lowest rows are cut off first and the ZIPs looked up after."""
+    points = [(1.0, 1.0), (2.0, 2.0), (3.0, 3.0)]
+    rows = [incident(i, lat=lat, lon=lon) for i, (lat, lon) in enumerate(points)]
+    geocode = [(lat, lon, f"9000{i}") for i, (lat, lon) in enumerate(points)]
+    incomes = [(90000, "$1"), (90000, "$2"), (90001, "$3"), (90002, "$4")]
+    df = plans.victims_by_income(
+        spark.createDataFrame(rows, INCIDENT),
+        spark.createDataFrame(geocode, "LAT double, LON double, ZIPcode string"),
+        spark.createDataFrame(incomes, "`Zip Code` int, `Estimated Median Income` string"),
+    )
+    assert [tuple(r) for r in df.collect()] == [("Hispanic/Latin/Mexican", 2)]
+
+
+STATIONS = "OBJECTID int, DIVISION string, LOCATION string, PREC int, x double, y double"
+
+
+@pytest.mark.parametrize("strategy", [None, "broadcast", "merge", "repartition"])
+def test_distances(spark, strategy):
+    rows = [
+        incident(1), incident(2, lat=34.5), incident(3, weapon=100), incident(4, weapon=199),
+        incident(5, weapon=99), incident(6, weapon=200), incident(7, weapon=None),
+        incident(8, lat=0.0), incident(9, lon=0.0), incident(10, lat=None), incident(11, area=7),
+        incident(12, area=2), incident(13, area=None), incident(14, lat=0.0, lon=0.0),
+    ]
+    stations = [(1, "NORTH", "a", 1, -118.0, 34.0), (2, "SOUTH", "b", 2, -118.0, 34.0),
+                (3, "IDLE", "c", 3, -118.0, 34.0)]
+    df = plans.distance_by_division(
+        spark.createDataFrame(rows, INCIDENT), spark.createDataFrame(stations, STATIONS), strategy
+    )
+    # Half a degree of latitude is 55.597 km; one of four incidents is that far.
+    assert df.columns == ["DIVISION", "avg_distance_km", "incidents total"]
+    assert [tuple(r) for r in df.collect()] == [("NORTH", 13.899, 4), ("SOUTH", 0.0, 1)]
+
+
+def test_join_variants_agree(spark):
+    rows = [incident(i, area=i % 5, date=f"01/01/{2014 + i % 3} 12:00:00 AM") for i in range(60)]
+    stations = [(i, f"D{i}", "a", i, 0.0, 0.0) for i in (1, 2, 3, 9)]
+    df = plans.compare_joins(
+        spark.createDataFrame(rows, INCIDENT), spark.createDataFrame(stations, STATIONS), 2015
+    )
+    per_variant = {}
+    for row in df.collect():
+        per_variant.setdefault(row.variant, {})[row.DIVISION] = row.incidents
+    assert list(per_variant) == ["broadcast", "copartitioned", "plain", "repartition"]
+    assert all(counts == {"D1": 4, "D2": 4, "D3": 4} for counts in per_variant.values())
+
+    joined = equi_join(
+        spark.createDataFrame(rows, INCIDENT), spark.createDataFrame(stations, STATIONS), AREA_OF_STATION
+    )
+    assert [tuple(r) for r in plans.counts_by_division(joined, 2015).collect()] == [
+        ("D1", 4), ("D2", 4), ("D3", 4)
+    ]
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(
+    ("key", "operator"),
+    [
+        ("q3_hint_broadcast", "BroadcastHashJoin [knownfloating"),
+        ("q3_hint_merge", "SortMergeJoin [knownfloating"),
+        ("q3_hint_shuffle_hash", "ShuffledHashJoin [knownfloating"),
+        ("q3_hint_replicate_nl", "ShuffledHashJoin [knownfloating"),
+    ],
+)
+def test_hint_reaches_the_plan(spark, key, operator):
+    assert operator in executed_plan(contract.queries()[key](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("key", sorted(contract.queries()))
+def test_no_python_and_no_cross_join(spark, key):
+    plan = planned(contract.queries()[key](spark, SF_DIR))
+    for operator in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoop"):
+        assert operator not in plan
+
+
+def test_incidents_are_folded_before_they_are_shuffled(spark):
+    """Between the scan and the first exchange there is a partial count."""
+    plan = planned(contract.queries()["q3_lowest_income"](spark, SF_DIR))
+    for line in plan.splitlines():
+        if "FileScan" in line and "l_shipdate" in line:
+            break
+    above = plan[: plan.index(line)]
+    assert "partial_count" in above[above.rindex("Exchange hashpartitioning") :]
+    assert plan.count("l_shipdate") and plan.count("FileScan parquet [l_orderkey") == 2
+
+
+@pytest.mark.parametrize(
+    ("key", "columns"),
+    [
+        ("q1_top_months_df", "o_orderdate:timestamp_ntz"),
+        ("q1_top_months_sql", "o_orderdate:timestamp_ntz"),
+        ("q2_segments_sql", "l_orderkey:bigint,l_linenumber:int,l_returnflag:string"),
+    ],
+)
+def test_only_needed_columns_are_read(spark, key, columns):
+    assert f"ReadSchema: struct<{columns}>" in planned(contract.queries()[key](spark, SF_DIR))
+
+
+def test_reports_run_on_untyped_text(spark):
+    """Columns of an untyped CSV scan are all text."""
+    df = spark.createDataFrame([incident(1, time="415")], INCIDENT)
+    text = df.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in df.columns))
+    assert [tuple(r) for r in plans.street_segments(text).collect()] == [(1, "Night")]
+    assert [tuple(r) for r in plans.top_months(text).collect()] == [("2015", "03", 1, 1)]
