@@ -194,12 +194,10 @@ def q2_top5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_min_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    geocode = tables.geocode(spark, sf_dir).select(
-        F.col("LAT").alias("lat"),
-        F.col("LON").alias("lon"),
-        fn.first_token(F.col("ZIPcode")).alias("zip"),
+    lookup = min_per_key(
+        tables.geocode(spark, sf_dir), ["LAT", "LON"], "ZIPcode", "zip_code", clean=fn.first_token
     )
-    return min_per_key(geocode, ["lat", "lon"], "zip", "zip_code")
+    return lookup.withColumnsRenamed({"LAT": "lat", "LON": "lon"})
 
 
 def semi_join_zip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def min_per_key(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+def min_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str,
+    clean: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """One row per key with the smallest value; nulls count only when there is nothing else.
 
     Spark takes the minimum of text by sorting its input. Grouping equal pairs first is
-    done by hashing, so only distinct pairs are sorted. The filter holds for every
-    group; without it the optimizer would drop the grouping as redundant.
+    done by hashing, so that only distinct pairs are cleaned and sorted. The filter holds
+    for every group; without it the optimizer would drop the grouping as redundant.
     """
     pairs = df.groupBy(*keys, value).agg(F.count("*").alias("__rows")).where("__rows > 0")
-    return pairs.groupBy(*keys).agg(F.min(value).alias(name))
+    cleaned = clean(F.col(value)) if clean else F.col(value)
+    return pairs.groupBy(*keys).agg(F.min(cleaned).alias(name))
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:

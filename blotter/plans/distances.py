@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions import haversine_km, in_year
 from blotter.operators import equi_join, pair_join
-from blotter.sources import read_parquet, scratch_path, write_parquet
+from blotter.sources import stored
 
 # First and last weapon code counted, both inclusive.
 WEAPON_CODES = (100, 199)
@@ -53,11 +53,10 @@ def compare_joins(incidents: DataFrame, stations: DataFrame, year: int) -> DataF
     Every variant reads its input more than once, so the columns and rows they need
     are stored first and the incidents themselves are scanned once.
     """
-    path = scratch_path(incidents.sparkSession, "incidents-of-year")
-    write_parquet(
-        incidents.where(in_year(F.col("DATE OCC"), year)).select("DATE OCC", "AREA"), path
+    incidents = stored(
+        incidents.where(in_year(F.col("DATE OCC"), year)).select("DATE OCC", "AREA"),
+        "incidents-of-year",
     )
-    incidents = read_parquet(incidents.sparkSession, path)
     stations = stations.select("DIVISION", "PREC")
     pairs = pair_join(incidents, stations, AREA_OF_STATION[0])
     variants = {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions import decode, first_token, in_year, parse_money
 from blotter.operators import equi_join, min_per_key, top_k
+from blotter.sources import stored
 
 # Descent codes and their labels.
 DESCENTS = {
@@ -36,11 +37,13 @@ YEAR = 2015
 
 AREAS = 3
 
+# Strategies that read their input once to measure it and once to join it.
+MEASURING = ("broadcast", "repartition")
+
 
 def zip_lookup(geocode: DataFrame) -> DataFrame:
     """LAT, LON, zip_code: the smallest of the first ZIPs given for a point."""
-    cleaned = geocode.select("LAT", "LON", first_token(F.col("ZIPcode")).alias("ZIPcode"))
-    return min_per_key(cleaned, ["LAT", "LON"], "ZIPcode", "zip_code")
+    return min_per_key(geocode, ["LAT", "LON"], "ZIPcode", "zip_code", clean=first_token)
 
 
 def clean_incomes(incomes: DataFrame) -> DataFrame:
@@ -69,8 +72,11 @@ def victims_by_zip(
         .groupBy("LAT", "LON", decode(code, DESCENTS).alias("victim_descent"))
         .agg(F.count("*").alias("victims"))
     )
+    lookup = zip_lookup(geocode)
+    if strategy in MEASURING:
+        per_point, lookup = stored(per_point, "victims-per-point"), stored(lookup, "zip-lookup")
     return (
-        equi_join(per_point, zip_lookup(geocode), ["LAT", "LON"], strategy)
+        equi_join(per_point, lookup, ["LAT", "LON"], strategy)
         .groupBy(F.col("zip_code").try_cast("bigint").alias("zip"), "victim_descent")
         .agg(F.sum("victims").alias("victims"))
     )
@@ -124,12 +130,12 @@ def victims_by_income_sql(
     return incidents.sparkSession.sql(
         f"""
         WITH pairs AS (
-            SELECT LAT, LON, split(ZIPcode, '[;:-]')[0] AS zip_code, count(*) AS uses
+            SELECT LAT, LON, ZIPcode, count(*) AS uses
             FROM geocode
             GROUP BY ALL
         ),
         lookup AS (
-            SELECT LAT, LON, try_cast(min(zip_code) AS bigint) AS zip
+            SELECT LAT, LON, try_cast(min(split(ZIPcode, '[;:-]')[0]) AS bigint) AS zip
             FROM pairs
             WHERE uses > 0
             GROUP BY LAT, LON

@@ -1,7 +1,7 @@
 """Readers, writers and the flow that combines raw extracts."""
 
 from blotter.sources.extracts import build_incidents, combine
-from blotter.sources.scratch import scratch_path
+from blotter.sources.scratch import scratch_path, stored
 from blotter.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "read_csv",
     "read_parquet",
     "scratch_path",
+    "stored",
     "write_csv",
     "write_parquet",
 ]

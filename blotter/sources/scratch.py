@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from blotter.sources.tables import read_parquet, write_parquet
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -19,3 +21,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="blotter-")
     return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, computed once and read from a table from then on."""
+    path = scratch_path(df.sparkSession, name)
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path)
