@@ -23,6 +23,9 @@ Key = str | tuple[str, str]
 # Largest measured size of a table that is sent to every executor.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
+# A key with at most this many rows on a side is no burden for one task.
+HOT_ROWS = 50_000
+
 # Copies of each right row made by shuffle_replicate_nl.
 REPLICAS = 4
 
@@ -41,6 +44,7 @@ def equi_join(
     strategy: str | None = None,
     partitions: int | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner join; the result has one column per name.
 
@@ -55,13 +59,13 @@ def equi_join(
       splits skewed partitions.
     * ``repartition``: both sides are shuffled by key into ``partitions`` (at least
       ``spark.sql.shuffle.partitions``). A key with more rows on one side than an even
-      share of a partition is cut into pieces there, and its rows of the other side are
-      copied to each piece.
+      share of a partition, and more than ``hot_rows``, is cut into pieces there, and its
+      rows of the other side are copied to each piece.
     * ``shuffle_replicate_nl``: both sides are shuffled, every key is cut into
       ``REPLICAS`` pieces on the left and all right rows are copied to each. Unlike a nested loop
       over all pairs of rows, the work grows in step with the data.
     """
-    joined = _join(left, right, on, strategy, partitions, broadcast_limit)
+    joined = _join(left, right, on, strategy, partitions, broadcast_limit, hot_rows)
     return joined.select(
         *(_side("r" if name in right.columns else "l", name) for name in left.columns),
         *(_side("r", name) for name in right.columns if name not in left.columns),
@@ -75,9 +79,10 @@ def pair_join(
     strategy: str | None = "repartition",
     partitions: int | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner join on one key that keeps both rows apart: ``key``, ``left``, ``right``."""
-    joined = _join(left, right, [on], strategy, partitions, broadcast_limit)
+    joined = _join(left, right, [on], strategy, partitions, broadcast_limit, hot_rows)
     key = on if isinstance(on, str) else on[0]
     return joined.select(
         _side("l", key).alias("key"),
@@ -101,6 +106,7 @@ def _join(
     strategy: str | None,
     partitions: int | None,
     broadcast_limit: int,
+    hot_rows: int,
 ) -> DataFrame:
     """The joined rows with the columns of both sides below the aliases l and r."""
     keys = [(key, key) if isinstance(key, str) else key for key in on]
@@ -110,7 +116,7 @@ def _join(
             return _matched(left, F.broadcast(right), keys)
         strategy = "repartition"
     if strategy == "repartition":
-        return _repartition_join(left, right, keys, partitions)
+        return _repartition_join(left, right, keys, partitions, hot_rows)
     if strategy == "shuffle_replicate_nl":
         pieces = {LEFT_PIECES: F.lit(REPLICAS), RIGHT_PIECES: F.lit(1)}
         left, right = left.withColumns(pieces), right.withColumns(pieces)
@@ -132,6 +138,7 @@ def _repartition_join(
     right: DataFrame,
     keys: Sequence[tuple[str, str]],
     partitions: int | None,
+    hot_rows: int,
 ) -> DataFrame:
     left_keys = [a for a, _ in keys]
     right_keys = [b for _, b in keys]
@@ -139,9 +146,10 @@ def _repartition_join(
     right = right.where(_all_present(right_keys))
 
     shares = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left_hot = _hot_keys(left, left_keys, shares, hot_rows, LEFT_PIECES)
+    right_hot = _hot_keys(right, right_keys, shares, hot_rows, RIGHT_PIECES)
     hot = (
-        _hot_keys(left, left_keys, shares, LEFT_PIECES)
-        .unionByName(_hot_keys(right, right_keys, shares, RIGHT_PIECES), allowMissingColumns=True)
+        left_hot.unionByName(right_hot, allowMissingColumns=True)
         .groupBy(_key_columns(keys))
         .agg(*(F.coalesce(F.max(n), F.lit(1)).alias(n) for n in (LEFT_PIECES, RIGHT_PIECES)))
     )
@@ -196,16 +204,19 @@ def _every_piece(pieces: str) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(pieces) - 1))
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], shares: int, pieces: str) -> DataFrame:
-    """Keys with more than one of ``shares`` equal shares of the rows, and the pieces to cut.
+def _hot_keys(
+    df: DataFrame, keys: Sequence[str], shares: int, hot_rows: int, pieces: str
+) -> DataFrame:
+    """Keys too big for one task, and the number of pieces to cut them into.
 
-    Fewer than ``shares`` keys can have more than a share, whatever the size of ``df``.
+    A piece has one of ``shares`` equal shares of the rows or ``hot_rows``, whichever is
+    more. Fewer than ``shares`` keys can have more than a share, whatever the size of ``df``.
     """
     names = _key_columns(keys)
     counts = df.groupBy(*(column(key).alias(name) for key, name in zip(keys, names))).agg(
         F.count("*").alias("__rows")
     )
-    share = counts.agg(F.sum("__rows") / shares).scalar()
+    share = counts.agg(F.greatest(F.sum("__rows") / shares, F.lit(hot_rows))).scalar()
     return counts.where(F.col("__rows") > share).select(
         *names, F.ceil(F.col("__rows") / share).alias(pieces)
     )

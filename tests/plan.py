@@ -11,3 +11,9 @@ def executed_plan(df):
 def planned(df):
     """The plan before any stage has run."""
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df):
+    """What ``explain("formatted")`` prints."""
+    utils = df.sparkSession.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils
+    return utils.explainString(df._jdf.queryExecution(), "formatted")

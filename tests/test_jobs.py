@@ -2,6 +2,8 @@
 
 import pytest
 
+from plan import formatted
+
 from blotter.__main__ import run
 
 HEADER = "DR_NO,DATE OCC,TIME OCC,{area},Premis Desc,Vict Descent,Weapon Used Cd,LAT,LON\n"
@@ -83,3 +85,39 @@ def test_distances_and_joins(spark, files):
         assert both_formats(spark, files, "distances", "--strategy", strategy, *stations) == expected
     counts = both_formats(spark, files, "joins", *stations)
     assert [row[1:] for row in counts] == [("NORTH", 50), ("SOUTH", 50)] * 4
+
+
+@pytest.mark.parametrize(
+    ("argv", "filters", "columns"),
+    [
+        (
+            ["segments"],
+            ["EqualTo(`Premis Desc`,STREET)"],
+            "TIME OCC:int,Premis Desc:string",
+        ),
+        (
+            ["distances", "--stations"],
+            [
+                "Not(EqualTo(LAT,0.0))",
+                "Not(EqualTo(LON,0.0))",
+                "GreaterThanOrEqual(`Weapon Used Cd`,100)",
+                "LessThanOrEqual(`Weapon Used Cd`,199)",
+                "IsNotNull(AREA)",
+            ],
+            "AREA:int,Weapon Used Cd:int,LAT:double,LON:double",
+        ),
+        (
+            ["victims", "--geocode", "--incomes"],
+            ["IsNotNull(`Vict Descent`)", "IsNotNull(LAT)", "IsNotNull(LON)"],
+            "DATE OCC:string,Vict Descent:string,LAT:double,LON:double",
+        ),
+        (["months"], [], "DATE OCC:string"),
+    ],
+)
+def test_filters_and_columns_reach_the_scan(spark, files, argv, filters, columns):
+    command, *options = argv
+    tables = [item for option in options for item in (option, files[option.strip("-")])]
+    df = run(spark, [command, "--incidents", files["parquet"], *tables])
+    plan = formatted(df)
+    assert plan.count(f"ReadSchema: struct<{columns}>") == 1
+    assert all(item in plan for item in filters), plan

@@ -60,9 +60,11 @@ def test_any_keys(spark, strategy, data):
     right = [
         (k, f"n{i}", "r") for i, k in enumerate(data.draw(st.lists(key, min_size=1, max_size=12)))
     ]
+    # With hot_rows=1 nearly every key is cut, on both sides.
     df = equi_join(
-        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ON, strategy
-    )
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ON, strategy,
+        hot_rows=1,
+    )
     assert rows_of(df) == brute_force(left, right)
 
 
@@ -189,7 +191,7 @@ def test_hot_key_is_spread(spark, hot_side, copies):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
-        df = equi_join(left, right, ["k"], "repartition")
+        df = equi_join(left, right, ["k"], "repartition", hot_rows=100)
         sizes = rows_per_partition(df)
         plain = rows_per_partition(equi_join(left, right, ["k"], "shuffle_hash"))
     finally:
@@ -200,11 +202,45 @@ def test_hot_key_is_spread(spark, hot_side, copies):
     assert sizes[0] < n / 6
 
 
+@pytest.mark.parametrize("strategy", ["merge", "shuffle_hash", "shuffle_replicate_nl"])
+def test_adaptive_execution_splits_hot_keys(spark, strategy):
+    settings_ = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        # A piece of the hot key is far above a share of this many partitions.
+        "spark.sql.shuffle.partitions": "128",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings_}
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    left = spark.range(0, 300_000, 1, 16).select(key.alias("k"), F.col("id").alias("v"))
+    right = spark.range(-1, 1000).select(F.col("id").alias("k"), F.lit("r").alias("w"))
+    try:
+        for name, value in settings_.items():
+            spark.conf.set(name, value)
+        df = equi_join(left, right, ["k"], strategy)
+        assert "skew=true" in executed_plan(df)
+        assert df.count() == 100_000 + 666
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def test_small_keys_are_not_cut(spark):
+    """In a table of a few rows every key has more than a share, but none is a burden."""
+    left = spark.range(60_000).select((F.col("id") % 3).alias("k"), "id")
+    right = spark.range(3).select(F.col("id").alias("k"), F.lit("r").alias("w"))
+    cut = planned(equi_join(left, right, ["k"], "repartition", hot_rows=10_000))
+    assert "__left_piece" in cut and "explode(sequence(0, (__right_pieces" in cut
+    assert "__left_piece" not in planned(equi_join(left, right, ["k"], "repartition"))
+
+
 def test_lost_task_gives_the_same_rows(spark):
     """The pieces of a row do not change from run to run."""
     left = spark.range(0, 5000, 1, 8).select((F.col("id") % 2).alias("k"), F.lit("same").alias("v"))
     right = spark.range(2).select(F.col("id").alias("k"), F.lit("r").alias("w"))
-    df = equi_join(left, right, ["k"], "repartition")
+    df = equi_join(left, right, ["k"], "repartition", hot_rows=100)
     assert "__left_piece" in planned(df)
     assert df.count() == df.count() == 5000
     assert rows_of(df) == Counter({(0, "same", "r"): 2500, (1, "same", "r"): 2500})
