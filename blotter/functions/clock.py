@@ -30,7 +30,7 @@ def time_segment(time: Column, bounded: bool = False) -> Column:
     else:
         night = (hhmm >= NIGHT_START) | (hhmm <= NIGHT_END)
 
-    segment = F
+    segment = F.when(night, F.lit("Night"))
     for name, start, end in DAY_SEGMENTS:
         segment = segment.when(hhmm.between(start, end), F.lit(name))
-    return segment.when(night, F.lit("Night")).otherwise(F.lit("NA"))
+    return segment.otherwise(F.lit("NA"))
