@@ -62,8 +62,8 @@ def equi_join(
       share of a partition, and more than ``hot_rows``, is cut into pieces there, and its
       rows of the other side are copied to each piece.
     * ``shuffle_replicate_nl``: both sides are shuffled, every key is cut into
-      ``REPLICAS`` pieces on the left and all right rows are copied to each. Unlike a nested loop
-      over all pairs of rows, the work grows in step with the data.
+      ``REPLICAS`` pieces on the left and all right rows are copied to each. Unlike a
+      nested loop over all pairs of rows, the work grows in step with the data.
     """
     joined = _join(left, right, on, strategy, partitions, broadcast_limit, hot_rows)
     return joined.select(
