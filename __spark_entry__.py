@@ -27,6 +27,20 @@ from blotter.plans.victims import DESCENTS, clean_incomes  # noqa: E402
 from blotter.testbed import oracle, tables  # noqa: E402
 from blotter.testbed.tables import TEST_YEAR  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from blotter.llm.queries import ORACLE as LLM_SQL
+    from blotter.llm.queries import QUERIES as LLM_QUERIES
+
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_SQL = {**LLM_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+except ModuleNotFoundError as missing:
+    # The training-data operators may have been left out of a deployment; nothing else may be missing.
+    if missing.name not in ("corpus_pipeline", "blotter.llm", "blotter.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,9 +361,10 @@ def queries() -> dict[str, Query]:
         "q4_join_copartitioned": q4_join_copartitioned,
         "q4_verify_counts": q4_verify_counts,
         "row_merge": row_merge,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as SQL over the raw tables."""
-    return dict(oracle.SQL)
+    return {**oracle.SQL, **LLM_SQL}
