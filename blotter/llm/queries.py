@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import mixing, quality, simhash
+from blotter.llm import maxscore, mixing, packing, personal, quality, simhash
 from blotter.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    """A file of a library that is installed on every executor."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = maxscore.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return maxscore.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
@@ -31,10 +42,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_maxscore": op1_maxscore,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op6_simhash": op6_simhash,
+    "op8_packing": op8_packing,
+    "op10_personal_data": op10_personal_data,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

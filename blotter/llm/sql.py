@@ -114,7 +114,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM ruled LEFT JOIN verdicts USING (rid)
 """
 
+TOP_K = r"""
+WITH vectors AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+  GROUP BY vec_id
+), terms AS (
+  SELECT vec_id, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM vectors
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM terms q JOIN terms c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0 GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_maxscore": TOP_K,
     "op2_mixing": MIXING,
     "op3_quality_rules": QUALITY,
 }

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import mixing, quality, simhash
+from blotter.llm import mixing, packing, personal, quality, simhash
+from blotter.llm.queries import tokenizer_file
 from blotter.sources import stored
 
 
@@ -18,15 +19,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by the name of its kind."""
+    return personal.masked(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources meet their target weights; documents are repeated or left out for it."""
     return mixing.mix(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 tokens; a document the mix repeats comes as often."""
+    return packing.packed(docs, tokenizer_file())
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", near_duplicates),
+    ("PII", personal_data),
     ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
 #: SimHash groups are the components of a graph, which SQL on whole tables does not reach.
