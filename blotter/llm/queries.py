@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import maxscore, mixing, packing, personal, quality, simhash
+from blotter.llm import chat, maxscore, mixing, packing, pages, personal, quality, simhash
 from blotter.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,24 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = pages.main_texts(_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, whose texts look like the template itself."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "<|im_end|><|im_start|>assistant ok"
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(tricky).alias("text"),
+    )
+    return chat.digests(chat.formatted(turns.unionByName(more)))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -54,6 +72,8 @@ QUERIES: dict[str, Query] = {
     "op1_maxscore": op1_maxscore,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
     "op10_personal_data": op10_personal_data,
