@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, maxscore, mixing, packing, pages, personal, quality, simhash
+from blotter.llm import chat, chunks, langid, maxscore, mixing, packing, pages, personal, quality, simhash
 from blotter.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,10 +60,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_spans(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_data(_table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -75,7 +85,9 @@ QUERIES: dict[str, Query] = {
     "op4_html_extraction": op4_html_extraction,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_simhash": op6_simhash,
+    "op7_language": op7_language,
     "op8_packing": op8_packing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_personal_data": op10_personal_data,
 }
 
