@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from blotter.sources import stored
 
 REACH = 16
-LONGEST = 256
-MIN_WORDS = 20
+LONGEST = 96
+MIN_WORDS = 16
 
 #: Two random bytes for each byte value.
 GEAR = np.array(
@@ -65,24 +65,22 @@ def cuts(data: np.ndarray) -> np.ndarray:
     n = len(h)
     # low[i] is the least of h[i - REACH : i]
     smallest = (h < low[:n]) & (h <= low[REACH + 1 : REACH + 1 + n])
-    ends = np.flatnonzero(smallest) + 1
+    ends = np.append(np.flatnonzero(smallest) + 1, n)
+    gaps = np.diff(ends, prepend=0)
+    if gaps.max() > LONGEST:
+        more = []
+        for end, gap in zip(ends[gaps > LONGEST].tolist(), gaps[gaps > LONGEST].tolist()):
+            at = end - gap
+            while end - at > LONGEST:
+                at += REACH + 1 + int(h[at + REACH : at + LONGEST].argmin())
+                more.append(at)
+        ends = np.append(ends, more)
     inside = (data & 0xC0) == 0x80
     while True:  # a cut inside a character moves to its end
         moved = (ends < n) & inside[np.minimum(ends, n - 1)]
         if not moved.any():
-            break
+            return np.unique(ends)
         ends = ends + moved
-    ends = np.unique(np.append(ends, n))
-    gaps = np.diff(ends, prepend=0)
-    if gaps.max() > LONGEST:
-        more = []
-        for end, gap in zip(ends[gaps > LONGEST], gaps[gaps > LONGEST]):
-            for cut in range(end - gap + LONGEST, end, LONGEST):
-                while cut < end and inside[cut]:
-                    cut += 1
-                more.append(cut)
-        ends = np.unique(np.append(ends, more))
-    return ends
 
 
 def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
