@@ -19,7 +19,6 @@ last one.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -38,7 +37,15 @@ END_ID = 1
 #: Servings that are ranked together, about.
 STRETCH = 4096
 #: Words whose ids a task keeps; at that number it starts anew.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 500_000
+
+#: Marks that may follow the letters of a word.
+MARKS = b".,!?;:#$%&*|"
+
+#: The alphabet of byte-level merges: printable bytes are themselves, the others, in order, the
+#: characters from U+0100 on. Only bytes above 127 are looked up here.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place int, serving long, inside long, tail long"
 
@@ -58,7 +65,8 @@ def packed(docs: DataFrame, tokenizer_file: str) -> DataFrame:
         "doc_id", "ids", "n", (F.col("start") + F.col("before")).alias("at"), "place", "servings", "tail_at"
     )
     pieces = located.mapInArrow(_cut, PIECES)
-    served = pieces.where("tail IS NULL").join(_slots(queues), ["place", "serving"])
+    # Spark takes the opened-out turns for as small as the table of sources; they grow with the data.
+    served = pieces.where("tail IS NULL").join(_slots(queues).hint("merge"), ["place", "serving"])
     tail = pieces.where("tail IS NOT NULL")
     position = F.col("slot") * QUANTUM + F.col("inside")
     columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
@@ -85,45 +93,91 @@ def tokenized(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     return rows.mapInArrow(_tokenizer(tokenizer_file), schema)
 
 
+class WordIds:
+    """Ids of texts, two bytes each, as the tokenizer gives them, worked out once a word.
+
+    Its rules cut a text at white space and between letters and other characters before they
+    merge anything, so the ids of a word of letters and marks after them are the ids of both.
+    Letters go straight to the merges, in the alphabet these work on; all else is encoded
+    as it stands. The tables start anew when they are full.
+    """
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer, self.merges = tokenizer, tokenizer.model.tokenize
+        self.words: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {b"": b""}
+        self.marks: dict[bytes, bytes] = {b"": b""}
+        self.bytes_of = [i.to_bytes(2, "little") for i in range(1 << 16)]
+
+    def of_text(self, text: bytes) -> bytes:
+        # Case of A-Z makes no difference but in the names of special tokens.
+        words = (text if b"<|" in text else text.lower()).split()
+        if len(self.words) > KNOWN_WORDS:
+            self.words.clear()
+        new = set(words).difference(self.words)
+        if new:
+            self._meet(new)
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _meet(self, new: set[bytes]) -> None:
+        if len(self.cores) > KNOWN_WORDS:
+            self.cores = {b"": b""}
+        words, cores, marks, merges, bytes_of = self.words, self.cores, self.marks, self.merges, self.bytes_of
+        for word in new:
+            core = word.rstrip(MARKS)
+            tail = word[len(core) :]
+            ids = cores.get(core)
+            if ids is None:
+                plain = core.decode().lower() if core.isalpha() else _merged(core)
+                if plain is None:
+                    words[word] = self.encoded(word)
+                    continue
+                cores[core] = ids = b"".join([bytes_of[token.id] for token in merges(plain)])
+            if tail:
+                if tail not in marks:
+                    marks[tail] = self.encoded(tail)
+                ids += marks[tail]
+            words[word] = ids
+
+    def encoded(self, word: bytes) -> bytes:
+        found = self.tokenizer.encode(word.decode(errors="replace"), add_special_tokens=False)
+        return b"".join([self.bytes_of[i] for i in found.ids])
+
+
+def _merged(core: bytes) -> str | None:
+    """What the merges see of letters below U+0100, whose lower case and normal form are settled
+    letter by letter; None if there is anything else."""
+    try:
+        text = core.decode()
+    except UnicodeDecodeError:
+        return None
+    if not text.isalpha() or max(text) >= "\u0100":
+        return None
+    return text.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
 def _tokenizer(file: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(file)
         if tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than two bytes")
-        known: dict[bytes, bytes] = {}
-        end = np.array([END_ID], dtype="<u2").tobytes()
+        known = WordIds(tokenizer)
+        end = END_ID.to_bytes(2, "little")
         part = TaskContext.get().partitionId()
         ahead: dict[str | None, int] = defaultdict(int)
         for batch in batches:
-            doc_ids, sources = batch.column(0), batch.column(1).to_pylist()
+            sources = batch.column(1).to_pylist()
             ids, before, counts = [], [], []
             for text, source in zip(batch.column(2), sources):
-                # Ids never span white space, so a text is the sum of its words.
-                words = (text.as_py() or b"").split()
-                try:
-                    found = b"".join([known[word] for word in words])
-                except KeyError:
-                    if len(known) > KNOWN_WORDS:
-                        known.clear()
-                    new = [word for word in dict.fromkeys(words) if word not in known]
-                    encoded = tokenizer.encode_batch_fast(
-                        [word.decode(errors="replace") for word in new], add_special_tokens=False
-                    )
-                    own = {
-                        word: np.array(e.ids, dtype="<u2").tobytes() for word, e in zip(new, encoded)
-                    }
-                    found = b"".join([own[w] if w in own else known[w] for w in words])
-                    known.update(own)
-                ids.append(found + end)
+                ids.append(known.of_text(text.as_py() or b"") + end)
                 before.append(ahead[source])
                 counts.append(len(ids[-1]) // 2)
                 ahead[source] += counts[-1]
             yield pa.RecordBatch.from_arrays(
                 [
-                    doc_ids,
+                    batch.column(0),
                     pa.array(sources, pa.string()),
                     pa.array([part] * len(ids), pa.int32()),
                     pa.array(before, pa.int64()),
@@ -190,7 +244,7 @@ def _slots(queues: DataFrame) -> DataFrame:
     )
     inside = Window.partitionBy("stretch").orderBy("due", "place")
     ranked = stretched.withColumn("rank", F.row_number().over(inside) - 1)
-    return ranked.join(sums, F.col("stretch") == F.col("of")).select(
+    return ranked.join(sums.hint("merge"), F.col("stretch") == F.col("of")).select(
         "place", "serving", (F.col("first") + F.col("rank")).alias("slot")
     )
 
