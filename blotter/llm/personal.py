@@ -29,8 +29,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from blotter.sources import stored
 
@@ -60,6 +61,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE = "\"'`.,;:!?()[]{}<>|#$%&*"
 EDGE_BYTES = EDGE.encode()
+#: Odd numbers that spread the hashes of two words over 63 bits.
+MIX_LAST, MIX_BEFORE, MASK = 0xC2B2AE3D27D4EB4F, 0x9E3779B97F4A7C15, (1 << 64) - 1
 #: Words whose hashes a task keeps.
 KNOWN_WORDS = 200_000
 
@@ -124,7 +127,8 @@ def _contexts(second: int | None, first: int | None) -> list[int]:
     """Keys of the last word, and of the last two, before a place."""
     if first is None:
         return []
-    return [first] if second is None else [first, (second << 31) ^ (first << 1) ^ (1 << 62)]
+    last = (first * MIX_LAST & MASK) >> 1
+    return [last] if second is None else [last, ((second + 1) * MIX_BEFORE + first * MIX_LAST & MASK) >> 1]
 
 
 def scanned(text: str) -> tuple[list[Span], list[tuple]]:
@@ -256,10 +260,6 @@ def _suggested(edges: DataFrame) -> DataFrame:
     )
 
 
-def _bit(key: Column | np.ndarray) -> Column | np.ndarray:
-    return key % (1 << BITMAP_BITS)
-
-
 def _context_totals(docs: DataFrame, edges: DataFrame) -> DataFrame:
     """context, total: how often each suggested context occurs in all texts."""
     bits = 1 << BITMAP_BITS
@@ -285,8 +285,10 @@ def _context_totals(docs: DataFrame, edges: DataFrame) -> DataFrame:
                 if not words:
                     continue
                 first = np.fromiter(map(hashes.__getitem__, words), dtype=np.int64, count=len(words))
-                pairs = (first[:-1] << 31) ^ (first[1:] << 1) ^ (1 << 62)
-                for keys in (first, pairs):
+                last = first.astype(np.uint64) * np.uint64(MIX_LAST)
+                before = (first[:-1].astype(np.uint64) + np.uint64(1)) * np.uint64(MIX_BEFORE)
+                for keys in (last, last[1:] + before):
+                    keys = (keys >> np.uint64(1)).astype(np.int64)
                     bit = keys % bits
                     found.append(keys[(wanted[bit >> 3] >> (bit & 7)) & 1 == 1])
             if found:
@@ -361,7 +363,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _masked(texts: pd.Series, added: pd.Series) -> pd.Series:
     return pd.Series([mask(text, more) for text, more in zip(texts, added)], dtype="object")
 
