@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from blotter.llm.components import components
 from blotter.sources import stored
@@ -45,7 +46,7 @@ def fingerprint(text: Column) -> Column:
     return _fingerprint(text.cast("binary"))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _fingerprint(texts: pd.Series) -> pd.Series:
     return pd.Series([simhash(t) for t in texts], dtype="int64")
 
