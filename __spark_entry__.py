@@ -81,9 +81,34 @@ def etl_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderdate": "timestamp_ntz",
         },
         renames={"o_custkey ": "o_custkey"},
+        date=None,
     )
 
 
+def etl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts with numbers that are none; what did not fit, by row and column."""
+    parquet_path = sources.scratch_path(spark, "dirty-parquet")
+    raw = tables.dirty_orders(spark, sf_dir)
+    paths = [sources.scratch_path(spark, name) for name in ("dirty-old", "dirty-new", "dirty-csv")]
+    sources.write_csv(raw.where("newer = 'no'").drop("newer"), paths[0])
+    sources.write_csv(raw.where("newer = 'yes'").drop("newer"), paths[1])
+    sources.build_incidents(
+        spark, *paths, parquet_path,
+        types={"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}, renames={}, date=None,
+    )
+    return sources.rejects(spark, parquet_path).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "rejected_column", "rejected_text"
+    )
+
+
+def csv_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blanks, empty strings, nulls, quotes, backslashes and line breaks, there and back."""
+    odd = tables.odd_texts(spark, sf_dir)
+    path = sources.scratch_path(spark, "odd-csv")
+    sources.write_csv(odd, path, multiline=True)
+    return sources.read_csv(spark, path, schema=odd.schema, multiline=True)
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A directory of CSV parts, read back with the declared schema."""
     orders = etl_union_renamed(spark, sf_dir)
@@ -95,7 +120,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_untyped_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sources.scratch_path(spark, "part-csv")
     sources.write_csv(tables.table(spark, sf_dir, "part"), path)
-    return sources.read_csv(spark, path).select("p_partkey", "p_name", "p_size", "p_retailprice")
+    return sources.read_csv(spark, path)
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +225,11 @@ def q2_segments_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.street_segments(_through_csv(spark, incidents), bounded=True)
 
 
+def q2_top3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fewer than there are, so the limit cuts."""
+    return plans.busiest_segments(tables.incidents(spark, sf_dir), k=3)
+
+
 def q2_top5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.busiest_segments(tables.incidents(spark, sf_dir))
 
@@ -244,15 +274,45 @@ def _q3(lowest: bool = True, strategy: str | None = None) -> Query:
     return query
 
 
-def q3_lowest_income_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.victims_by_income_sql(
-        tables.incidents(spark, sf_dir),
+def _q3_sql(lowest: bool = True, strategy: str | None = None) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return plans.victims_by_income_sql(
+            tables.incidents(spark, sf_dir),
+            tables.geocode(spark, sf_dir),
+            tables.incomes(spark, sf_dir),
+            lowest,
+            TEST_YEAR,
+            strategy=strategy,
+        )
+
+    return query
+
+
+def q3_lowest_income_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over a table that was built from two raw extracts and is partitioned by year."""
+    raw = tables.incidents(spark, sf_dir)
+    newer = fn.text_year(F.col("DATE OCC")) >= "1999"
+    paths = [
+        sources.scratch_path(spark, name)
+        for name in ("incidents-old", "incidents-new", "incidents-csv", "incidents-parquet")
+    ]
+    sources.write_csv(raw.where(~newer).withColumnRenamed("AREA", "AREA "), paths[0])
+    sources.write_csv(raw.where(newer), paths[1])
+    return plans.victims_by_income(
+        sources.build_incidents(spark, *paths),
         tables.geocode(spark, sf_dir),
         tables.incomes(spark, sf_dir),
         year=TEST_YEAR,
     )
 
 
+def topk_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest incomes where every third one cannot be read; those come last."""
+    written = F.when(F.col("Zip Code") % 3 == 0, "n/a").otherwise(F.col("Estimated Median Income"))
+    incomes = tables.incomes(spark, sf_dir).withColumn("Estimated Median Income", written)
+    return top_k(clean_incomes(incomes), "income", 20, ties=["zip"])
+
+
 # Incidents and the station in charge
 
 
@@ -285,6 +345,15 @@ def q4_join_copartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q4_join_copartitioned_4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pair join over four partitions a side."""
+    return pair_join(*_narrow(spark, sf_dir), AREA_OF_STATION[0], partitions=4).select(
+        "key",
+        F.col("left.`DR_NO`").alias("left_dr_no"),
+        F.col("right.`DIVISION`").alias("right_division"),
+    )
+
+
 def q4_verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.compare_joins(
         tables.incidents(spark, sf_dir), tables.stations(spark, sf_dir), TEST_YEAR
@@ -326,6 +395,8 @@ def queries() -> dict[str, Query]:
     return {
         "etl_union_renamed": etl_union_renamed,
         "etl_csv_to_parquet": etl_csv_to_parquet,
+        "etl_rejects": etl_rejects,
+        "csv_lossless": csv_lossless,
         "csv_roundtrip": csv_roundtrip,
         "csv_untyped_scan": csv_untyped_scan,
         "parquet_roundtrip": parquet_roundtrip,
@@ -343,14 +414,24 @@ def queries() -> dict[str, Query]:
         "q2_segments_df": q2_segments_df,
         "q2_segments_bounded": q2_segments_bounded,
         "q2_segments_csv": q2_segments_csv,
+        "q2_top3_segments": q2_top3_segments,
         "q2_top5_segments": q2_top5_segments,
         "lookup_min_per_key": lookup_min_per_key,
         "semi_join_zip": semi_join_zip,
         "topk_low": topk_low,
         "topk_high": topk_high,
+        "topk_unreadable": topk_unreadable,
         "q3_lowest_income": _q3(),
         "q3_highest_income": _q3(lowest=False),
-        "q3_lowest_income_sql": q3_lowest_income_sql,
+        "q3_lowest_income_stored": q3_lowest_income_stored,
+        "q3_lowest_income_sql": _q3_sql(),
+        "q3_highest_income_sql": _q3_sql(lowest=False),
+        "q3_sql_hint_broadcast": _q3_sql(strategy="broadcast"),
+        "q3_sql_hint_merge": _q3_sql(strategy="merge"),
+        "q3_sql_hint_shuffle_hash": _q3_sql(strategy="shuffle_hash"),
+        "q3_highest_hint_broadcast": _q3(lowest=False, strategy="broadcast"),
+        "q3_highest_hint_merge": _q3(lowest=False, strategy="merge"),
+        "q3_highest_hint_shuffle_hash": _q3(lowest=False, strategy="shuffle_hash"),
         "q3_hint_broadcast": _q3(strategy="broadcast"),
         "q3_hint_merge": _q3(strategy="merge"),
         "q3_hint_shuffle_hash": _q3(strategy="shuffle_hash"),
@@ -359,6 +440,7 @@ def queries() -> dict[str, Query]:
         "q4_join_broadcast": q4_join_broadcast,
         "q4_join_repartition": q4_join_repartition,
         "q4_join_copartitioned": q4_join_copartitioned,
+        "q4_join_copartitioned_4": q4_join_copartitioned_4,
         "q4_verify_counts": q4_verify_counts,
         "row_merge": row_merge,
         **LLM_QUERIES,

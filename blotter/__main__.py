@@ -22,8 +22,8 @@ from blotter.sources.layouts import (  # noqa: E402
 
 STRATEGIES = ["broadcast", "merge", "shuffle_hash", "repartition", "shuffle_replicate_nl"]
 
-# More rows than any report has.
-SHOWN = 1000
+# Rows printed as a preview; the whole result goes to --out.
+SHOWN = 20
 
 
 def arguments() -> ArgumentParser:
@@ -33,6 +33,8 @@ def arguments() -> ArgumentParser:
     combine = commands.add_parser("combine", help="combine two raw CSV extracts")
     for name in ("--old", "--new", "--csv", "--parquet"):
         combine.add_argument(name, required=True)
+    combine.add_argument("--strict", action="store_true", help="text that fits no type is an error")
+    combine.add_argument("--mode", choices=["error", "overwrite", "resume"], default="error")
 
     months = commands.add_parser("months", help="months with the most incidents per year")
     segments = commands.add_parser("segments", help="street incidents by time of day")
@@ -43,6 +45,9 @@ def arguments() -> ArgumentParser:
     for report in (months, segments, victims, distances, joins):
         report.add_argument("--incidents", required=True, help="Parquet or CSV table")
         report.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+        report.add_argument("--out", help="where the whole result is written")
+        report.add_argument("--out-format", choices=["parquet", "csv"], default="parquet")
+        report.add_argument("--out-mode", choices=["error", "overwrite", "append"], default="error")
     for report in (months, segments, victims):
         report.add_argument("--sql", action="store_true", help="run it as SQL")
     for report in (victims, distances):
@@ -59,23 +64,27 @@ def arguments() -> ArgumentParser:
 
 
 def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame:
-    args = arguments().parse_args(argv)
+    return _report(spark, arguments().parse_args(argv))
+
+
+def _report(spark: SparkSession, args: Namespace) -> DataFrame:
     if args.command == "combine":
-        return sources.build_incidents(spark, args.old, args.new, args.csv, args.parquet)
+        return sources.build_incidents(
+            spark, args.old, args.new, args.csv, args.parquet, strict=args.strict, mode=args.mode
+        )
 
     incidents = _incidents(spark, args)
     if args.command == "months":
         return (plans.top_months_sql if args.sql else plans.top_months)(incidents)
     if args.command == "segments":
-        if args.sql:
-            return plans.street_segments_sql(incidents)
-        return plans.street_segments(incidents, args.bounded)
+        segments = plans.street_segments_sql if args.sql else plans.street_segments
+        return segments(incidents, args.bounded)
     if args.command == "victims":
         geocode = sources.read_csv(spark, args.geocode, types=GEOCODE_TYPES)
         incomes = sources.read_csv(spark, args.incomes, types=INCOME_TYPES)
         if args.sql:
             return plans.victims_by_income_sql(
-                incidents, geocode, incomes, args.lowest, args.year
+                incidents, geocode, incomes, args.lowest, args.year, strategy=args.strategy
             )
         return plans.victims_by_income(
             incidents, geocode, incomes, args.lowest, args.year, strategy=args.strategy
@@ -93,11 +102,27 @@ def _incidents(spark: SparkSession, args: Namespace) -> DataFrame:
     return sources.read_parquet(spark, args.incidents)
 
 
+def deliver(spark: SparkSession, args: Namespace, result: DataFrame) -> DataFrame:
+    """Write the whole result where ``--out`` says; what is then there to be shown."""
+    if getattr(args, "out", None) is None:
+        return result
+    if args.out_format == "csv":
+        sources.write_csv(result, args.out, args.out_mode)
+        return sources.read_csv(spark, args.out)
+    sources.write_parquet(result, args.out, args.out_mode)
+    return sources.read_parquet(spark, args.out)
+
+
 def main() -> None:
     spark = SparkSession.builder.appName("blotter").getOrCreate()
-    result = run(spark, sys.argv[1:])
-    # Reports have few rows; the combined table is only previewed.
-    result.show(5 if sys.argv[1] == "combine" else SHOWN, truncate=False)
+    args = arguments().parse_args(sys.argv[1:])
+    shown = deliver(spark, args, _report(spark, args))
+    print(f"First {SHOWN} rows at most" + (f"; all are in {args.out}" if getattr(args, "out", None) else ""))
+    shown.show(SHOWN, truncate=False)
+    if args.command == "combine":
+        print("Values that did not fit their type, by column")
+        sources.count_rejects(spark, args.parquet).show(SHOWN, truncate=False)
+    sources.drop_scratch(spark)
     spark.stop()
 
 

@@ -14,6 +14,11 @@ def text_month(date: Column) -> Column:
     return F.substring(date, 1, 2)
 
 
-def in_year(date: Column, year: int | str) -> Column:
-    """Compares text with text, so a malformed date is dropped instead of failing a cast."""
-    return text_year(date) == F.lit(str(year))
+def in_year(date: Column, year: int | str, stored_year: Column | None = None) -> Column:
+    """Compares text with text, so a malformed date is dropped instead of failing a cast.
+
+    ``stored_year`` is a column that holds the year as a number, for example one the table is
+    partitioned by: then only that partition is read.
+    """
+    named = text_year(date) == F.lit(str(year))
+    return named if stored_year is None else (stored_year == F.lit(int(year))) & named

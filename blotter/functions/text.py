@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 def first_token(text: Column, separators: str = ";:-") -> Column:
     """Text before the first of the separator characters; blank stays blank, null stays null."""
-    return F.split(text, f"[{separators}]").getItem(0)
+    listed = "".join(f"\\{character}" for character in separators)
+    return F.split(text, f"[{listed}]", 2).getItem(0)
 
 
 def parse_money(text: Column) -> Column:

@@ -1,12 +1,13 @@
 """Operators on DataFrames."""
 
-from blotter.operators.joins import equi_join, fits_broadcast, pair_join
+from blotter.operators.joins import equi_join, fits_broadcast, measured_bytes, pair_join
 from blotter.operators.lookups import min_per_key, semi_join
 from blotter.operators.ranking import top_k, top_n_per_group
 
 __all__ = [
     "equi_join",
     "fits_broadcast",
+    "measured_bytes",
     "min_per_key",
     "pair_join",
     "semi_join",

@@ -33,7 +33,7 @@ def top_k(
 ) -> DataFrame:
     """The k rows with the lowest or highest value; equal values are taken in order of ``ties``.
 
-    Each task keeps only its own k rows.
+    A null value comes after all others, in either direction. Each task keeps only its own k rows.
     """
-    direction = F.col(by).asc() if ascending else F.col(by).desc()
+    direction = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
     return df.orderBy(direction, *ties).limit(k)

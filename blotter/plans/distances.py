@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from blotter.functions import haversine_km, in_year
 from blotter.operators import equi_join, pair_join
 from blotter.sources import stored
+from blotter.sources.extracts import year_column
 
 # First and last weapon code counted, both inclusive.
 WEAPON_CODES = (100, 199)
@@ -54,7 +55,7 @@ def compare_joins(incidents: DataFrame, stations: DataFrame, year: int) -> DataF
     are stored first and the incidents themselves are scanned once.
     """
     incidents = stored(
-        incidents.where(in_year(F.col("DATE OCC"), year)).select("DATE OCC", "AREA"),
+        incidents.where(in_year(F.col("DATE OCC"), year, year_column(incidents))).select("DATE OCC", "AREA"),
         "incidents-of-year",
     )
     stations = stations.select("DIVISION", "PREC")

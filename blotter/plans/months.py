@@ -21,16 +21,15 @@ def top_months(incidents: DataFrame, n: int = TOP) -> DataFrame:
     return ranked.orderBy("Year", "rank", "Month")
 
 
-def top_months_sql(incidents: DataFrame, n: int = TOP, view: str = "incidents") -> DataFrame:
-    """The same report as SQL over a temporary view: year, month, crime_total, ranking."""
-    incidents.createOrReplaceTempView(view)
+def top_months_sql(incidents: DataFrame, n: int = TOP) -> DataFrame:
+    """The same report as SQL: year, month, crime_total, ranking."""
     return incidents.sparkSession.sql(
-        f"""
+        """
         WITH monthly AS (
             SELECT substring(`DATE OCC`, 7, 4) AS year,
                    substring(`DATE OCC`, 1, 2) AS month,
                    count(*) AS crime_total
-            FROM {view}
+            FROM {incidents}
             GROUP BY ALL
         ),
         ranked AS (
@@ -42,4 +41,5 @@ def top_months_sql(incidents: DataFrame, n: int = TOP, view: str = "incidents")
         ORDER BY year, ranking, month
         """,
         args={"n": n},
+        incidents=incidents,
     )

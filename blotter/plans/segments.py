@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions import time_segment
-from blotter.functions.clock import DAY_SEGMENTS, NIGHT_END, NIGHT_START
+from blotter.functions.clock import BOUNDED_NIGHT, DAY_SEGMENTS, NIGHT_END, NIGHT_START
 from blotter.operators import top_k
 
 # Fixed value: the kind of premises counted.
@@ -24,9 +24,12 @@ def busiest_segments(incidents: DataFrame, k: int = 5, bounded: bool = True) ->
     return top_k(counts, "incidents", k, ascending=False, ties=["time_segment"])
 
 
-def street_segments_sql(incidents: DataFrame, view: str = "incidents") -> DataFrame:
-    """The report with the unbounded rule as SQL over a temporary view."""
-    incidents.createOrReplaceTempView(view)
+def street_segments_sql(incidents: DataFrame, bounded: bool = False) -> DataFrame:
+    """The same report as SQL."""
+    if bounded:
+        night = " OR ".join(f"hhmm BETWEEN {start} AND {end}" for start, end in BOUNDED_NIGHT)
+    else:
+        night = f"hhmm >= {NIGHT_START} OR hhmm <= {NIGHT_END}"
     branches = "\n".join(
         f"WHEN hhmm BETWEEN {start} AND {end} THEN '{name}'" for name, start, end in DAY_SEGMENTS
     )
@@ -34,12 +37,12 @@ def street_segments_sql(incidents: DataFrame, view: str = "incidents") -> DataFr
         f"""
         WITH street AS (
             SELECT try_cast(`TIME OCC` AS bigint) AS hhmm
-            FROM {view}
+            FROM {{incidents}}
             WHERE `Premis Desc` = :premises
         )
         SELECT count(*) AS incidents,
                CASE {branches}
-                    WHEN hhmm >= {NIGHT_START} OR hhmm <= {NIGHT_END} THEN 'Night'
+                    WHEN {night} THEN 'Night'
                     ELSE 'NA'
                END AS time_segment
         FROM street
@@ -47,6 +50,7 @@ def street_segments_sql(incidents: DataFrame, view: str = "incidents") -> DataFr
         ORDER BY incidents DESC, time_segment
         """,
         args={"premises": STREET},
+        incidents=incidents,
     )
 
 

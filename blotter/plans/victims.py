@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions import decode, first_token, in_year, parse_money
-from blotter.operators import equi_join, min_per_key, top_k
-from blotter.sources import stored
+from blotter.operators import equi_join, measured_bytes, min_per_key, top_k
+from blotter.operators.joins import BROADCAST_LIMIT
+from blotter.sources import stored_and_measured
+from blotter.sources.extracts import year_column
 
 # Descent codes and their labels.
 DESCENTS = {
@@ -37,8 +39,8 @@ YEAR = 2015
 
 AREAS = 3
 
-# Strategies that read their input once to measure it and once to join it.
-MEASURING = ("broadcast", "repartition")
+#: Strategies of the SQL form and the hints they give.
+SQL_HINTS = {None: None, "broadcast": "BROADCAST", "merge": "MERGE", "shuffle_hash": "SHUFFLE_HASH"}
 
 
 def zip_lookup(geocode: DataFrame) -> DataFrame:
@@ -65,18 +67,20 @@ def victims_by_zip(
     Incidents are counted per point and label before they meet the lookup. Each point
     has one ZIP, so the counts can be added up afterwards, and a point or label with a
     large part of all incidents is folded in the map tasks instead of being shuffled.
+    For ``broadcast`` the lookup is stored and measured at once, by a job that runs while the
+    report is being built.
     """
     code = F.col("Vict Descent")
     per_point = (
-        incidents.where(in_year(F.col("DATE OCC"), year) & code.isNotNull())
+        incidents.where(in_year(F.col("DATE OCC"), year, year_column(incidents)) & code.isNotNull())
         .groupBy("LAT", "LON", decode(code, DESCENTS).alias("victim_descent"))
         .agg(F.count("*").alias("victims"))
     )
-    lookup = zip_lookup(geocode)
-    if strategy in MEASURING:
-        per_point, lookup = stored(per_point, "victims-per-point"), stored(lookup, "zip-lookup")
+    lookup, size = zip_lookup(geocode), None
+    if strategy == "broadcast":
+        lookup, size = stored_and_measured(lookup, "zip-lookup", measured_bytes(lookup))
     return (
-        equi_join(per_point, lookup, ["LAT", "LON"], strategy)
+        equi_join(per_point, lookup, ["LAT", "LON"], strategy, right_bytes=size)
         .groupBy(F.col("zip_code").try_cast("bigint").alias("zip"), "victim_descent")
         .agg(F.sum("victims").alias("victims"))
     )
@@ -120,35 +124,38 @@ def victims_by_income_sql(
     lowest: bool = True,
     year: int = YEAR,
     areas: int = AREAS,
+    strategy: str | None = None,
 ) -> DataFrame:
-    """The same report as one chain of SQL subqueries."""
+    """The same report as one chain of SQL subqueries, with the join hint of a strategy.
+
+    ``broadcast`` is measured first, as in :func:`victims_by_zip`, and is a merge join if the
+    lookup is too large.
+    """
+    if strategy not in SQL_HINTS:
+        raise ValueError(f"no join hint in SQL for strategy: {strategy}")
+    lookup, hint = zip_lookup(geocode), SQL_HINTS[strategy]
+    if strategy == "broadcast":
+        lookup, size = stored_and_measured(lookup, "zip-lookup", measured_bytes(lookup))
+        hint = hint if size <= BROADCAST_LIMIT else SQL_HINTS["merge"]
+    chosen = f"/*+ {hint}(lookup) */" if hint else ""
+    years = "TRUE" if year_column(incidents) is None else f"occ_year = {int(year)}"
     direction = "ASC" if lowest else "DESC"
     labels = "\n".join(f"WHEN '{code}' THEN '{label}'" for code, label in DESCENTS.items())
-    incidents.createOrReplaceTempView("incidents")
-    geocode.createOrReplaceTempView("geocode")
-    incomes.createOrReplaceTempView("incomes")
     return incidents.sparkSession.sql(
         f"""
-        WITH pairs AS (
-            SELECT LAT, LON, ZIPcode, count(*) AS uses
-            FROM geocode
-            GROUP BY ALL
-        ),
-        lookup AS (
-            SELECT LAT, LON, try_cast(min(split(ZIPcode, '[;:-]')[0]) AS bigint) AS zip
-            FROM pairs
-            WHERE uses > 0
-            GROUP BY LAT, LON
+        WITH lookup AS (
+            SELECT LAT, LON, try_cast(zip_code AS bigint) AS zip
+            FROM {{zips}}
         ),
         per_point AS (
             SELECT LAT, LON, CASE `Vict Descent` {labels} END AS victim_descent,
                    count(*) AS victims
-            FROM incidents
-            WHERE substring(`DATE OCC`, 7, 4) = :year AND `Vict Descent` IS NOT NULL
+            FROM {{incidents}}
+            WHERE {years} AND substring(`DATE OCC`, 7, 4) = :year AND `Vict Descent` IS NOT NULL
             GROUP BY ALL
         ),
         per_label AS (
-            SELECT zip, victim_descent, sum(victims) AS victims
+            SELECT {chosen} zip, victim_descent, sum(victims) AS victims
             FROM per_point JOIN lookup USING (LAT, LON)
             GROUP BY ALL
         ),
@@ -161,7 +168,7 @@ def victims_by_income_sql(
             SELECT try_cast(`Zip Code` AS bigint) AS zip,
                    try_cast(regexp_replace(`Estimated Median Income`, '[$,]', '') AS double)
                        AS income
-            FROM incomes
+            FROM {{incomes}}
         ),
         picked AS (
             SELECT zip, any_value(counts) AS counts
@@ -180,4 +187,7 @@ def victims_by_income_sql(
         ORDER BY victims DESC, victim_descent
         """,
         args={"year": str(year), "areas": areas},
+        incidents=incidents,
+        incomes=incomes,
+        zips=lookup,
     )

@@ -1,16 +1,20 @@
 """Readers, writers and the flow that combines raw extracts."""
 
-from blotter.sources.extracts import build_incidents, combine
-from blotter.sources.scratch import scratch_path, stored
+from blotter.sources.extracts import build_incidents, combine, count_rejects, rejects
+from blotter.sources.scratch import drop_scratch, scratch_path, stored, stored_and_measured
 from blotter.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 
 __all__ = [
     "build_incidents",
     "combine",
+    "count_rejects",
+    "drop_scratch",
     "read_csv",
     "read_parquet",
+    "rejects",
     "scratch_path",
     "stored",
+    "stored_and_measured",
     "write_csv",
     "write_parquet",
 ]

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from blotter.sources.layouts import INCIDENT_RENAMES, INCIDENT_TYPES
-from blotter.sources.tables import cast_columns, read_csv, read_parquet, write_csv, write_parquet
+from blotter.functions import text_year
+from blotter.sources.layouts import INCIDENT_DATE, INCIDENT_RENAMES, INCIDENT_TYPES
+from blotter.sources.scratch import exists
+from blotter.sources.tables import column, read_csv, read_parquet, write_csv, write_parquet
+
+#: Partition column of the Parquet copy: the year a text date names, null for other text.
+YEAR_COLUMN = "occ_year"
+
+#: Working column of the Parquet copy: by column, the text that did not fit its type.
+REJECTED = "_rejected"
+
+#: Rows of one Parquet file at most.
+ROWS_PER_FILE = 5_000_000
 
 
 def combine(
@@ -29,16 +41,95 @@ def build_incidents(
     parquet_path: str,
     types: Mapping[str, str] = INCIDENT_TYPES,
     renames: Mapping[str, str] = INCIDENT_RENAMES,
+    date: str | None = INCIDENT_DATE,
+    strict: bool = False,
+    mode: str = "error",
 ) -> DataFrame:
     """Combine two CSV extracts and store them as Parquet and as CSV.
 
     Both extracts are read as text and typed by name after the union, so their
     types cannot drift apart. The raw text is parsed once: the CSV copy is written
     from the stored Parquet table. Returns the table read back from Parquet.
+
+    Text that does not fit its type is not lost. The Parquet copy has a null there and keeps the
+    text aside, see :func:`rejects`; the CSV copy has the text itself. ``strict`` makes
+    such text an error instead. If ``date`` names a column, the Parquet copy is partitioned by the
+    year in it, ``occ_year``; a row whose date names no year is in a partition of its own.
+
+    ``mode`` is ``error``, ``overwrite``, or ``resume``: a copy that is complete is kept and
+    only what is missing is written, for a run that broke off between the two.
+    """
+    if mode not in ("error", "overwrite", "resume"):
+        raise ValueError(f"unknown mode: {mode}")
+    write = "overwrite" if mode != "error" else "error"
+    if mode != "resume" or not exists(spark, f"{parquet_path}/_SUCCESS"):
+        text = combine(read_csv(spark, old_path), read_csv(spark, new_path), renames)
+        typed = _typed(text, types, strict)
+        partitions = []
+        if date is not None:
+            year = text_year(column(date)).try_cast("int")
+            # Rows of a year go together, in files of bounded size; a large year is split.
+            typed = typed.withColumn(YEAR_COLUMN, year).hint("rebalance", YEAR_COLUMN)
+            partitions = [YEAR_COLUMN]
+        write_parquet(
+            typed, parquet_path, write, partitions, maxRecordsPerFile=str(ROWS_PER_FILE)
+        )
+    stored = read_parquet(spark, parquet_path)
+    if mode != "resume" or not exists(spark, f"{csv_path}/_SUCCESS"):
+        names = [name for name in stored.columns if name not in (REJECTED, YEAR_COLUMN)]
+        write_csv(stored.select(*(_written(name, types) for name in names)), csv_path, write)
+    return stored.drop(REJECTED)
+
+
+def year_column(incidents: DataFrame) -> Column | None:
+    """The stored year of a table, if it has one."""
+    return F.col(YEAR_COLUMN) if YEAR_COLUMN in incidents.columns else None
+
+
+def rejects(spark: SparkSession, parquet_path: str) -> DataFrame:
+    """The rows of a stored table that hold text which did not fit, once per such value.
+
+    All columns of the table, and ``rejected_column`` and ``rejected_text``.
     """
-    text = combine(read_csv(spark, old_path), read_csv(spark, new_path), renames)
-    combined = cast_columns(text, types)
-    write_parquet(combined, parquet_path)
     stored = read_parquet(spark, parquet_path)
-    write_csv(stored, csv_path)
-    return stored
+    return stored.select(
+        *(column(name) for name in stored.columns if name != REJECTED),
+        F.explode(REJECTED).alias("rejected_column", "rejected_text"),
+    )
+
+
+def count_rejects(spark: SparkSession, parquet_path: str) -> DataFrame:
+    """rejected_column, values: how many texts did not fit, by column."""
+    found = rejects(spark, parquet_path).groupBy("rejected_column")
+    return found.agg(F.count("*").alias("values"))
+
+
+def _typed(text: DataFrame, types: Mapping[str, str], strict: bool) -> DataFrame:
+    """Columns with their types, and a map of the texts that do not fit."""
+    listed = [name for name in text.columns if name in types]
+    cast = {name: column(name).try_cast(types[name]) for name in listed}
+    unfit = {name: column(name).isNotNull() & cast[name].isNull() for name in listed}
+    if strict:
+        for name in listed:
+            message = F.concat(F.lit(f"{types[name]} expected in {name}, found: "), column(name))
+            failed = F.raise_error(message).cast(types[name])
+            cast[name] = F.when(unfit[name], failed).otherwise(cast[name])
+    pairs = F.array(
+        *(
+            F.when(unfit[name], F.struct(F.lit(name).alias("key"), column(name).alias("value")))
+            for name in listed
+        )
+    )
+    kept = F.map_from_entries(F.filter(pairs, lambda pair: pair.isNotNull()))
+    empty = F.create_map().cast("map<string,string>")
+    return text.select(
+        *(cast[name].alias(name) if name in cast else column(name) for name in text.columns),
+        (kept if listed else empty).alias(REJECTED),
+    )
+
+
+def _written(name: str, types: Mapping[str, str]) -> Column:
+    if name not in types:
+        return column(name)
+    text = F.try_element_at(column(REJECTED), F.lit(name))
+    return F.coalesce(column(name).cast("string"), text).alias(name)

@@ -10,6 +10,9 @@ INCIDENT_TYPES = {
     "LON": "double",
 }
 
+# Fixed value: the column with the date, ``MM/dd/yyyy hh:mm:ss a``.
+INCIDENT_DATE = "DATE OCC"
+
 # The older extract has a blank after the name.
 INCIDENT_RENAMES = {"AREA ": "AREA"}
 

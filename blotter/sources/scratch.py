@@ -5,10 +5,13 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from blotter.sources.tables import read_parquet, write_parquet
 
+#: Paths given out since the last :func:`drop_scratch`.
+_given: list[str] = []
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder set as ``spark.checkpoint.dir``.
@@ -20,11 +23,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="blotter-")
-    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+    _given.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, computed once and read from a table from then on."""
+    """The same rows, computed once and read from a table from then on.
+
+    This runs a job at once. The table stays until :func:`drop_scratch`.
+    """
     path = scratch_path(df.sparkSession, name)
     write_parquet(df, path)
     return read_parquet(df.sparkSession, path)
+
+
+def stored_and_measured(df: DataFrame, name: str, measure: Column) -> tuple[DataFrame, int]:
+    """Like :func:`stored`, and an aggregate that was worked out while the rows were written."""
+    seen = Observation()
+    table = stored(df.observe(seen, measure.alias("measure")), name)
+    return table, seen.get["measure"] or 0
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables stored so far. Results that read them must have been used up."""
+    while _given:
+        _file_system_call(spark, _given.pop(), lambda fs, path: fs.delete(path, True))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return _file_system_call(spark, path, lambda fs, at: fs.exists(at))
+
+
+def _file_system_call(spark: SparkSession, path: str, call):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return call(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)

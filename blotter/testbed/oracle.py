@@ -1,10 +1,10 @@
-"""The same queries as SQL over the raw test tables."""
+"""The same queries as SQL over the raw test tables.
 
-from __future__ import annotations
+Bounds, labels and the year are written out here once more, so that a wrong one in the package
+shows.
+"""
 
-from blotter.functions.clock import DAY_SEGMENTS
-from blotter.plans.victims import DESCENTS
-from blotter.testbed.tables import TEST_YEAR
+from __future__ import annotations
 
 POSITION = """
     CASE WHEN l_partkey % 50 = 0 THEN 0.0::DOUBLE
@@ -21,7 +21,7 @@ incidents AS (
            (l_suppkey % 25)::INTEGER AS "AREA",
            CASE WHEN l_returnflag = 'R' THEN 'STREET' ELSE 'OTHER' END AS "Premis Desc",
            CASE WHEN l_linenumber <> 7
-                THEN substring('HBWO-', (1 + l_orderkey % 5)::INTEGER, 1) END AS "Vict Descent",
+                THEN substring('HBWOACDFGIJKLPSUVXZ-', (1 + l_orderkey % 20)::INTEGER, 1) END AS "Vict Descent",
            (l_quantity * 10)::INTEGER AS "Weapon Used Cd",
            {POSITION}
     FROM lineitem
@@ -64,17 +64,23 @@ stations AS (
 )
 """
 
-BRANCHES = " ".join(
-    f"WHEN hhmm BETWEEN {start} AND {end} THEN '{name}'" for name, start, end in DAY_SEGMENTS
-)
+BRANCHES = """
+    WHEN hhmm BETWEEN 500 AND 1159 THEN 'Morning'
+    WHEN hhmm BETWEEN 1200 AND 1659 THEN 'Afternoon'
+    WHEN hhmm BETWEEN 1700 AND 2059 THEN 'Evening'
+"""
 NIGHT = "hhmm >= 2100 OR hhmm <= 459"
 BOUNDED_NIGHT = "hhmm BETWEEN 2100 AND 2359 OR hhmm BETWEEN 0 AND 499"
 
-LABEL = (
-    'CASE "Vict Descent" '
-    + " ".join(f"WHEN '{code}' THEN '{label}'" for code, label in DESCENTS.items())
-    + " END"
-)
+# Descent codes and their labels.
+LABEL = """CASE "Vict Descent"
+    WHEN 'A' THEN 'Other Asian' WHEN 'B' THEN 'Black' WHEN 'C' THEN 'Chinese'
+    WHEN 'D' THEN 'Cambodian' WHEN 'F' THEN 'Filipino' WHEN 'G' THEN 'Guamanian'
+    WHEN 'H' THEN 'Hispanic/Latin/Mexican' WHEN 'I' THEN 'American Indian/Alaskan Native'
+    WHEN 'J' THEN 'Japanese' WHEN 'K' THEN 'Korean' WHEN 'L' THEN 'Laotian' WHEN 'O' THEN 'Other'
+    WHEN 'P' THEN 'Pacific Islander' WHEN 'S' THEN 'Samoan' WHEN 'U' THEN 'Hawaiian'
+    WHEN 'V' THEN 'Vietnamese' WHEN 'W' THEN 'White' WHEN 'X' THEN 'Unknown'
+    WHEN 'Z' THEN 'Asian Indian' END"""
 
 DISTANCE = """
 2 * 6371 * asin(sqrt(
@@ -82,7 +88,7 @@ DISTANCE = """
     + cos(radians("LAT")) * cos(radians(y)) * sin(radians(x - "LON") / 2) ** 2))
 """
 
-IN_TEST_YEAR = f"""substring("DATE OCC", 7, 4) = '{TEST_YEAR}'"""
+IN_TEST_YEAR = """substring("DATE OCC", 7, 4) = '1999'"""
 
 ALL_ORDERS = "SELECT * FROM orders"
 
@@ -144,7 +150,7 @@ _COUNTS = f"""
     FROM incidents JOIN stations ON "AREA" = "PREC" WHERE {IN_TEST_YEAR} GROUP BY "DIVISION"
 """
 
-_LOWEST = _victims("ASC")
+_LOWEST, _HIGHEST = _victims("ASC"), _victims("DESC")
 
 SQL = {
     "etl_union_renamed": ALL_ORDERS,
@@ -152,10 +158,34 @@ SQL = {
     "csv_roundtrip": ALL_ORDERS,
     "parquet_roundtrip": ALL_ORDERS,
     "csv_untyped_scan": """
-        SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_size::VARCHAR AS p_size,
+        SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_brand, p_type, p_size::VARCHAR AS p_size,
                p_retailprice::VARCHAR AS p_retailprice
         FROM part
     """,
+    "csv_lossless": """
+        WITH odd AS (
+            SELECT p_partkey, CASE p_partkey % 8
+                WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || p_name || chr(9) || ' '
+                WHEN 3 THEN '"' || p_name || '", "' WHEN 4 THEN p_name || chr(10) || 'next' || chr(92)
+                WHEN 5 THEN chr(92) || '"' || p_name || chr(92) WHEN 6 THEN ' ' ELSE p_name END AS odd
+            FROM part
+        )
+        SELECT p_partkey, odd, reverse(odd) AS turned FROM odd
+    """,
+    "etl_rejects": """
+        WITH typed AS (
+            SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS o_custkey,
+                   CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 THEN o_totalprice END AS o_totalprice,
+                   o_custkey AS raw
+            FROM orders
+        )
+        SELECT o_orderkey, o_custkey, o_totalprice, 'o_custkey' AS rejected_column, 'A' || raw AS rejected_text
+        FROM typed WHERE o_orderkey % 7 = 0
+        UNION ALL
+        SELECT o_orderkey, o_custkey, o_totalprice, 'o_totalprice',
+               CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' ELSE '' END
+        FROM typed WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0
+    """,
     "date_parts_text": f"""
         WITH {ORDER_INCIDENTS}
         SELECT "DATE OCC" AS date_text, substring("DATE OCC", 7, 4) AS year,
@@ -195,6 +225,7 @@ SQL = {
     "q2_segments_df": _segments(NIGHT),
     "q2_segments_bounded": _segments(BOUNDED_NIGHT),
     "q2_segments_csv": _segments(BOUNDED_NIGHT),
+    "q2_top3_segments": _segments(BOUNDED_NIGHT, "LIMIT 3"),
     "q2_top5_segments": _segments(BOUNDED_NIGHT, "LIMIT 5"),
     "lookup_min_per_key": f'WITH {GEOCODE} SELECT "LAT" AS lat, "LON" AS lon, zip_code FROM lookup',
     "semi_join_zip": f"""
@@ -205,9 +236,22 @@ SQL = {
     """,
     "topk_low": _top_incomes("ASC"),
     "topk_high": _top_incomes("DESC"),
+    "topk_unreadable": f"""
+        WITH {INCOMES}
+        SELECT zip, CASE WHEN zip % 3 <> 0 THEN income END AS income FROM incomes
+        ORDER BY 2 ASC NULLS LAST, zip LIMIT 20
+    """,
     "q3_lowest_income": _LOWEST,
-    "q3_highest_income": _victims("DESC"),
+    "q3_highest_income": _HIGHEST,
+    "q3_lowest_income_stored": _LOWEST,
     "q3_lowest_income_sql": _LOWEST,
+    "q3_highest_income_sql": _HIGHEST,
+    "q3_sql_hint_broadcast": _LOWEST,
+    "q3_sql_hint_merge": _LOWEST,
+    "q3_sql_hint_shuffle_hash": _LOWEST,
+    "q3_highest_hint_broadcast": _HIGHEST,
+    "q3_highest_hint_merge": _HIGHEST,
+    "q3_highest_hint_shuffle_hash": _HIGHEST,
     "q3_hint_broadcast": _LOWEST,
     "q3_hint_merge": _LOWEST,
     "q3_hint_shuffle_hash": _LOWEST,
@@ -226,6 +270,9 @@ SQL = {
         '"AREA" AS key, "DR_NO" AS left_dr_no, "DATE OCC" AS left_date,'
         ' "DIVISION" AS right_division, "PREC" AS right_prec'
     ),
+    "q4_join_copartitioned_4": _joined(
+        '"AREA" AS key, "DR_NO" AS left_dr_no, "DIVISION" AS right_division'
+    ),
     "q4_verify_counts": f"WITH {INCIDENTS}, {STATIONS}"
     + " UNION ALL ".join(
         _COUNTS.format(variant)

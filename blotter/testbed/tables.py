@@ -10,6 +10,9 @@ DATE_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 # The year the test tables are reported on.
 TEST_YEAR = 1999
 
+# All descent codes, and one that has no label.
+CODES = "HBWOACDFGIJKLPSUVXZ-"
+
 # Start of the newer of the two extracts orders are split into.
 NEWER_FROM = "1999-01-01"
 
@@ -29,7 +32,7 @@ def _position() -> tuple[Column, Column]:
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One incident per line item."""
     lat, lon = _position()
-    descent = F.substring(F.lit("HBWO-"), (1 + F.col("l_orderkey") % 5).cast("int"), F.lit(1))
+    descent = F.substring(F.lit(CODES), (1 + F.col("l_orderkey") % 20).cast("int"), F.lit(1))
     hhmm = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 131) % 2400
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("DR_NO"),
@@ -60,6 +63,35 @@ def order_extracts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return old, new
 
 
+def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text, some numbers spoilt; ``newer`` splits them into two extracts."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    text = {name: F.col(name).cast("string") for name in ("o_orderkey", "o_custkey", "o_totalprice")}
+    return orders.select(
+        text["o_orderkey"].alias("o_orderkey"),
+        F.when(key % 7 == 0, F.concat(F.lit("A"), text["o_custkey"])).otherwise(text["o_custkey"]).alias("o_custkey"),
+        F.when(key % 11 == 0, "n/a").when(key % 13 == 0, "").otherwise(text["o_totalprice"]).alias("o_totalprice"),
+        F.when(key % 2 == 0, "yes").otherwise("no").alias("newer"),
+    )
+
+
+def odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names with everything that CSV may lose."""
+    key = F.col("p_partkey")
+    odd = (
+        F.when(key % 8 == 0, F.lit(None).cast("string"))
+        .when(key % 8 == 1, "")
+        .when(key % 8 == 2, F.concat(F.lit("  "), "p_name", F.lit("\t ")))
+        .when(key % 8 == 3, F.concat(F.lit('"'), "p_name", F.lit('", "')))
+        .when(key % 8 == 4, F.concat("p_name", F.lit("\nnext\\")))
+        .when(key % 8 == 5, F.concat(F.lit("\\\""), "p_name", F.lit("\\")))
+        .when(key % 8 == 6, " ")
+        .otherwise(F.col("p_name"))
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", odd.alias("odd"), F.reverse(odd).alias("turned"))
+
+
 def geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points with their ZIPs as written down, several per point."""
     lat, lon = _position()

@@ -4,7 +4,8 @@ import pytest
 
 from plan import formatted
 
-from blotter.__main__ import run
+from blotter import sources
+from blotter.__main__ import arguments, deliver, run
 
 HEADER = "DR_NO,DATE OCC,TIME OCC,{area},Premis Desc,Vict Descent,Weapon Used Cd,LAT,LON\n"
 
@@ -60,6 +61,7 @@ def test_segments(spark, files):
     unbounded = both_formats(spark, files, "segments")
     assert both_formats(spark, files, "segments", "--sql") == unbounded
     bounded = both_formats(spark, files, "segments", "--bounded")
+    assert both_formats(spark, files, "segments", "--bounded", "--sql") == bounded
     for got in (unbounded, bounded):
         assert sum(n for n, _ in got) == 100
         assert (morning, "Morning") in got
@@ -73,6 +75,11 @@ def test_victims(spark, files, direction):
     # Points 34.0 to 34.3 have 25 victims each; three of the four ZIPs are picked.
     assert sum(n for _, n in expected) == 75
     assert both_formats(spark, files, "victims", "--sql", *tables) == expected
+    for strategy in ("broadcast", "merge", "shuffle_hash"):
+        sql = ["--sql", "--strategy", strategy]
+        assert both_formats(spark, files, "victims", *sql, *tables) == expected
+    with pytest.raises(ValueError, match="no join hint"):
+        run(spark, ["victims", "--incidents", files["parquet"], "--sql", "--strategy", "repartition", *tables])
     for strategy in ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"):
         assert both_formats(spark, files, "victims", "--strategy", strategy, *tables) == expected
 
@@ -121,3 +128,28 @@ def test_filters_and_columns_reach_the_scan(spark, files, argv, filters, columns
     plan = formatted(df)
     assert plan.count(f"ReadSchema: struct<{columns}>") == 1
     assert all(item in plan for item in filters), plan
+
+
+@pytest.mark.parametrize("form", ["parquet", "csv"])
+def test_a_result_is_written_whole(spark, tmp_path, form):
+    """Far more months than are shown."""
+    lines = "".join(
+        f"{i},{1 + i % 12:02d}/01/{1000 + i // 12} 12:00:00 AM,1200,1,YARD,,,0,0\n" for i in range(3000)
+    )
+    for name, text in (("old", ""), ("new", lines)):
+        (tmp_path / f"{name}.csv").write_text(HEADER.format(area="AREA") + text)
+    paths = [str(tmp_path / name) for name in ("old.csv", "new.csv", "csv", "parquet")]
+    sources.build_incidents(spark, *paths, date=None)
+    out = str(tmp_path / "out")
+    argv = ["months", "--incidents", paths[3], "--out", out, "--out-format", form]
+    args = arguments().parse_args(argv)
+    assert deliver(spark, args, run(spark, argv)).count() == 3000
+    again = sources.read_csv(spark, out) if form == "csv" else sources.read_parquet(spark, out)
+    assert again.count() == 3000
+
+
+def test_one_year_is_one_partition(spark, files):
+    tables = [item for name in ("geocode", "incomes") for item in (f"--{name}", files[name])]
+    for argv in (["victims", *tables], ["victims", "--sql", *tables]):
+        plan = formatted(run(spark, [argv[0], "--incidents", files["parquet"], *argv[1:]]))
+        assert "PartitionFilters: [isnotnull(occ_year" in plan and "= 2015)]" in plan

@@ -1,4 +1,7 @@
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -60,12 +63,12 @@ def test_any_keys(spark, strategy, data):
     right = [
         (k, f"n{i}", "r") for i, k in enumerate(data.draw(st.lists(key, min_size=1, max_size=12)))
     ]
-    # With hot_rows=1 nearly every key is cut, on both sides.
-    df = equi_join(
-        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ON, strategy,
-        hot_rows=1,
-    )
-    assert rows_of(df) == brute_force(left, right)
+    # With such marks nearly every key is cut, on both sides.
+    frames = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    partitions = 3 if strategy == "repartition" else None
+    for hot in ({"hot_rows": 1}, {"hot_pairs": 2}):
+        df = equi_join(*frames, ON, strategy, partitions, **hot)
+        assert rows_of(df) == brute_force(left, right)
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
@@ -130,8 +133,8 @@ def test_unknown_strategy(spark):
         ("broadcast", "BroadcastHashJoin"),
         ("merge", "SortMergeJoin"),
         ("shuffle_hash", "ShuffledHashJoin"),
-        ("repartition", "ShuffledHashJoin"),
-        ("shuffle_replicate_nl", "ShuffledHashJoin"),
+        ("repartition", "SortMergeJoin"),
+        ("shuffle_replicate_nl", "SortMergeJoin"),
     ],
 )
 def test_strategy_is_planned(spark, strategy, operator):
@@ -151,8 +154,10 @@ def test_broadcast_is_checked(spark):
 
     small = planned(equi_join(left, right, ["k"], "broadcast"))
     large = planned(equi_join(left, right, ["k"], "broadcast", broadcast_limit=100))
-    assert "BroadcastHashJoin [k" in small and "ShuffledHashJoin" not in small
-    assert "ShuffledHashJoin" in large
+    assert "BroadcastHashJoin [k" in small and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in large and "BroadcastHashJoin" not in large
+    known = planned(equi_join(left, right, ["k"], "broadcast", right_bytes=1 << 40))
+    assert "SortMergeJoin" in known
     assert equi_join(left, right, ["k"], "broadcast", broadcast_limit=100).count() == 1000
 
 
@@ -161,15 +166,20 @@ def test_partitions(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        many = equi_join(left, right, ["id"], "repartition", partitions=16)
-        assert many.rdd.getNumPartitions() == 16
+        for strategy in ("repartition", "merge", "shuffle_hash"):
+            many = equi_join(left, right, ["id"], strategy, partitions=16)
+            assert many.rdd.getNumPartitions() == 16
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         few = equi_join(left, right, ["id"], "repartition", partitions=4)
         assert few.rdd.getNumPartitions() == 4
+        assert pair_join(left, right, "id", partitions=4).rdd.getNumPartitions() == 4
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert many.count() == few.count() == 1000
+    for strategy in (None, "broadcast", "shuffle_replicate_nl"):
+        with pytest.raises(ValueError, match="partitions"):
+            equi_join(left, right, ["id"], strategy, partitions=4)
 
 
 def rows_per_partition(df):
@@ -191,7 +201,7 @@ def test_hot_key_is_spread(spark, hot_side, copies):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
-        df = equi_join(left, right, ["k"], "repartition", hot_rows=100)
+        df = equi_join(left, right, ["k"], "repartition", partitions=32, hot_rows=100)
         sizes = rows_per_partition(df)
         plain = rows_per_partition(equi_join(left, right, ["k"], "shuffle_hash"))
     finally:
@@ -231,16 +241,72 @@ def test_small_keys_are_not_cut(spark):
     """In a table of a few rows every key has more than a share, but none is a burden."""
     left = spark.range(60_000).select((F.col("id") % 3).alias("k"), "id")
     right = spark.range(3).select(F.col("id").alias("k"), F.lit("r").alias("w"))
-    cut = planned(equi_join(left, right, ["k"], "repartition", hot_rows=10_000))
+    cut = planned(equi_join(left, right, ["k"], "repartition", partitions=8, hot_rows=10_000))
     assert "__left_piece" in cut and "explode(sequence(0, (__right_pieces" in cut
-    assert "__left_piece" not in planned(equi_join(left, right, ["k"], "repartition"))
+    assert "__left_piece" not in planned(equi_join(left, right, ["k"], "repartition", partitions=8))
+
+
+def test_many_to_many_is_spread(spark):
+    """Neither side is hot by its rows, but one key would give a task 9 million rows."""
+    left = spark.range(0, 3000, 1, 8).select((F.col("id") % 1).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 3000, 1, 8).select((F.col("id") % 1).alias("k"), F.col("id").alias("w"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = equi_join(left, right, ["k"], "repartition", partitions=64, hot_pairs=20_000)
+        sizes = rows_per_partition(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 9_000_000 and sizes[0] < 9_000_000 / 8
+
+
+def test_cut_keys_keep_column_pruning(spark):
+    """Only the columns that tell rows apart and those asked for are read."""
+    items = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn("k", F.col("l_linenumber"))
+    other = spark.range(8).select(F.col("id").cast("int").alias("k"), F.lit("r").alias("w"))
+    joined = equi_join(
+        items, other, ["k"], "repartition", partitions=8, hot_rows=10, spread_by=["l_orderkey", "l_linenumber"]
+    )
+    plan = planned(joined.groupBy("w").count())
+    assert "__left_piece" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
+
+
+@pytest.mark.parametrize("strategy", ["repartition", "broadcast", "shuffle_replicate_nl", "pair"])
+def test_right_side_larger_than_memory(tmp_path, strategy):
+    """In a session of its own with a small heap; a hash table of the right side would not fit."""
+    script = tmp_path / "job.py"
+    script.write_text(LARGE_JOIN.format(root=str(Path(__file__).resolve().parent.parent), strategy=strategy))
+    done = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert done.stdout.strip().endswith("6000000")
+
+
+LARGE_JOIN = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from blotter.operators import equi_join, pair_join
+from blotter.session import local_session
+
+spark = local_session("2", 2, "800m")
+spark.sparkContext.setLogLevel("OFF")
+spark.conf.set("spark.sql.adaptive.enabled", "false")
+left = spark.range(0, 1_000_000).select(F.col("id").alias("k"))
+right = spark.range(0, 6_000_000).select((F.col("id") % 1_000_000).alias("k"), F.repeat(F.lit("x"), 90).alias("t"))
+if {strategy!r} == "pair":
+    joined = pair_join(left, right, "k").select("right.t")
+else:
+    joined = equi_join(left, right, ["k"], {strategy!r}, broadcast_limit=1000)
+print(joined.agg(F.count("t")).first()[0])
+"""
+
 
 
 def test_lost_task_gives_the_same_rows(spark):
     """The pieces of a row do not change from run to run."""
     left = spark.range(0, 5000, 1, 8).select((F.col("id") % 2).alias("k"), F.lit("same").alias("v"))
     right = spark.range(2).select(F.col("id").alias("k"), F.lit("r").alias("w"))
-    df = equi_join(left, right, ["k"], "repartition", hot_rows=100)
+    df = equi_join(left, right, ["k"], "repartition", partitions=8, hot_rows=100)
     assert "__left_piece" in planned(df)
     assert df.count() == df.count() == 5000
     assert rows_of(df) == Counter({(0, "same", "r"): 2500, (1, "same", "r"): 2500})

@@ -27,6 +27,12 @@ def test_top_k(spark):
     assert "TakeOrderedAndProject" in planned(top_k(df, "income", 2))
 
 
+def test_top_k_takes_nulls_last(spark):
+    df = spark.createDataFrame([(1, None), (2, 2.0), (3, 5.0)], "zip int, income double")
+    assert [r.zip for r in top_k(df, "income", 2).collect()] == [2, 3]
+    assert [r.zip for r in top_k(df, "income", 3, ascending=False).collect()] == [3, 2, 1]
+
+
 def test_min_per_key(spark):
     rows = [
         (1.0, 2.0, "b"), (1.0, 2.0, "a"), (1.0, 2.0, "a"), (0.0, 2.0, "z"), (-0.0, 2.0, "y"),

@@ -46,6 +46,7 @@ def test_street_segments(spark):
     bounded = [(5, "NA"), (3, "Night"), (2, "Morning"), (1, "Afternoon")]
     assert [tuple(r) for r in plans.street_segments(df).collect()] == unbounded
     assert [tuple(r) for r in plans.street_segments_sql(df).collect()] == unbounded
+    assert [tuple(r) for r in plans.street_segments_sql(df, bounded=True).collect()] == bounded
     assert [tuple(r) for r in plans.street_segments(df, bounded=True).collect()] == bounded
     assert [tuple(r) for r in plans.busiest_segments(df, k=2).collect()] == bounded[:2]
 
@@ -99,8 +100,9 @@ def victims_in_python(rows, geocode, incomes, lowest, areas=3):
 @pytest.mark.parametrize("lowest", [True, False])
 @pytest.mark.parametrize(
     "strategy",
-    [None, "broadcast", "merge", "shuffle_hash", "repartition", "shuffle_replicate_nl", "sql"],
-)
+    [None, "broadcast", "merge", "shuffle_hash", "repartition", "shuffle_replicate_nl",
+     "sql", "sql broadcast", "sql merge", "sql shuffle_hash"],
+)
 def test_victims(spark, city, lowest, strategy):
     rows, geocode, incomes = city
     frames = (
@@ -111,8 +113,9 @@ def test_victims(spark, city, lowest, strategy):
         ),
     )
     for areas in (1, 3):
-        if strategy == "sql":
-            df = plans.victims_by_income_sql(*frames, lowest=lowest, areas=areas)
+        if strategy and strategy.startswith("sql"):
+            hint = strategy[4:] or None
+            df = plans.victims_by_income_sql(*frames, lowest=lowest, areas=areas, strategy=hint)
         else:
             df = plans.victims_by_income(*frames, lowest=lowest, areas=areas, strategy=strategy)
         got = df.collect()
@@ -185,14 +188,18 @@ SF_DIR = "/root/testdata/sf0.001"
         ("q3_hint_broadcast", "BroadcastHashJoin [knownfloating"),
         ("q3_hint_merge", "SortMergeJoin [knownfloating"),
         ("q3_hint_shuffle_hash", "ShuffledHashJoin [knownfloating"),
-        ("q3_hint_replicate_nl", "ShuffledHashJoin [knownfloating"),
+        ("q3_hint_replicate_nl", "SortMergeJoin [knownfloating"),
+        ("q3_sql_hint_broadcast", "BroadcastHashJoin [knownfloating"),
+        ("q3_sql_hint_merge", "SortMergeJoin [knownfloating"),
+        ("q3_sql_hint_shuffle_hash", "ShuffledHashJoin [knownfloating"),
+        ("q3_highest_hint_merge", "SortMergeJoin [knownfloating"),
     ],
 )
 def test_hint_reaches_the_plan(spark, key, operator):
     assert operator in executed_plan(contract.queries()[key](spark, SF_DIR))
 
 
-@pytest.mark.parametrize("key", sorted(contract.queries()))
+@pytest.mark.parametrize("key", sorted(contract.queries().keys() - contract.LLM_QUERIES.keys()))
 def test_no_python_and_no_cross_join(spark, key):
     plan = planned(contract.queries()[key](spark, SF_DIR))
     for operator in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoop"):
@@ -228,3 +235,29 @@ def test_reports_run_on_untyped_text(spark):
     text = df.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in df.columns))
     assert [tuple(r) for r in plans.street_segments(text).collect()] == [(1, "Night")]
     assert [tuple(r) for r in plans.top_months(text).collect()] == [("2015", "03", 1, 1)]
+
+
+def test_sql_leaves_no_views(spark, city):
+    rows, geocode, incomes = city
+    mine = spark.range(1).withColumnRenamed("id", "mine")
+    for name in ("incidents", "geocode", "incomes"):
+        mine.createOrReplaceTempView(name)
+    df = spark.createDataFrame(rows, INCIDENT)
+    plans.top_months_sql(df).count()
+    plans.street_segments_sql(df).count()
+    plans.victims_by_income_sql(
+        df,
+        spark.createDataFrame(geocode, "LAT double, LON double, ZIPcode string"),
+        spark.createDataFrame(incomes, "`Zip Code` int, Community string, `Estimated Median Income` string"),
+    ).count()
+    names = {table.name for table in spark.catalog.listTables() if table.isTemporary}
+    assert {"incidents", "geocode", "incomes"} == names
+    for name in names:
+        assert spark.table(name).columns == ["mine"]
+        spark.catalog.dropTempView(name)
+
+
+def test_sql_knows_its_hints(spark):
+    df = spark.createDataFrame([incident(1)], INCIDENT)
+    with pytest.raises(ValueError, match="repartition"):
+        plans.victims_by_income_sql(df, df, df, strategy="repartition")
