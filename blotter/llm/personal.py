@@ -271,7 +271,7 @@ def _context_totals(docs: DataFrame, edges: DataFrame) -> DataFrame:
         F.collect_set((F.col("bit") % BITMAP_ROW).cast("int")).alias("bits")
     )
     bitmap = np.zeros(bits // 8, dtype=np.uint8)
-    for mark in marks.toLocalIterator():
+    for mark in marks.collect():
         places = mark["of"] * BITMAP_ROW + np.array(mark["bits"], dtype=np.int64)
         np.bitwise_or.at(bitmap, places >> 3, (1 << (places & 7)).astype(np.uint8))
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
@@ -302,7 +302,7 @@ def _context_totals(docs: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _patterns(edges: DataFrame, totals: DataFrame) -> DataFrame:
-    """context, share, kind of the accepted patterns after ``ROUNDS`` rounds."""
+    """context, share, kind of the accepted patterns after ``ROUNDS`` rounds, fewer if there are none."""
     seeds = edges.where("kind IS NOT NULL").select("instance", F.lit(1.0).alias("score")).distinct()
     known = seeds
     for _ in range(ROUNDS):
@@ -320,6 +320,8 @@ def _patterns(edges: DataFrame, totals: DataFrame) -> DataFrame:
             .where((F.col("share") >= MIN_CONFIDENCE) & F.col("kind").isNotNull())
         )
         patterns = stored(patterns, "pii-patterns")
+        if patterns.isEmpty():
+            break
         reached = (
             edges.join(patterns.select("context", "share"), "context")
             .groupBy("instance")
