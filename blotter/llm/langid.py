@@ -19,11 +19,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.sources import stored
@@ -32,8 +33,8 @@ SAMPLE = 1000
 ROUNDS = 3
 #: Added to every expected count.
 SMOOTHING = 0.05
-#: Words with more letters are scored in parts.
-LONGEST = 200
+#: Words with more letters are scored in parts, which keeps the least likely sum above what a float holds.
+LONGEST = 40
 #: A letter costs about this factor; probabilities are scaled by it so that sums stay near 1.
 LETTER = 9.0
 #: Words whose scores a task keeps; at that number it starts anew.
@@ -91,7 +92,7 @@ class Lattice:
         self.last = self.first + sizes - 1
         self.letters = sizes - 2
         self.nodes = len(string)
-        hits = np.array(list(finder.iter(string)), dtype=np.int64).reshape(-1, 2)
+        hits = np.fromiter(chain.from_iterable(finder.iter(string)), dtype=np.int64).reshape(-1, 2)
         end, length, piece = hits[:, 0] + 1, hits[:, 1] & 255, hits[:, 1] >> 8
         # A letter that is no piece is an arc of its own.
         bare = np.ones(self.nodes, dtype=bool)
@@ -146,9 +147,7 @@ def word_scores(words: list[str], automaton: ahocorasick.Automaton, probabilitie
 
 def learn(labelled: DataFrame, pieces: list[str]) -> Model:
     """A model from rows of text and lang, neither null."""
-    order = F.row_number().over(_by_language())
-    sample = labelled.withColumn("__rank", order).where(F.col("__rank") <= SAMPLE)
-    texts = sample.select("lang", F.col("text").cast("binary").alias("text"))
+    texts = _sample(labelled).select("lang", F.col("text").cast("binary").alias("text"))
     counted = texts.mapInArrow(_counted, "lang string, word string, n long")
     words = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
     languages = sorted(row["lang"] for row in words.select("lang").distinct().toLocalIterator())
@@ -164,10 +163,19 @@ def learn(labelled: DataFrame, pieces: list[str]) -> Model:
     return model
 
 
-def _by_language():
-    from pyspark.sql import Window
+def _sample(labelled: DataFrame) -> DataFrame:
+    """The documents of each language whose hashes are among the ``SAMPLE`` smallest.
 
-    return Window.partitionBy("lang").orderBy("__key", F.xxhash64("text"))
+    Hashes are ranked without their texts, and only each language's last one goes back to the
+    documents. Rows that are repeated count once.
+    """
+    keyed = labelled.withColumn("__key", F.xxhash64("__key", "text"))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("__key"))
+    ranked = keyed.select("lang", "__key").distinct().withColumn("rank", order).where(F.col("rank") <= SAMPLE)
+    last = ranked.groupBy(F.col("lang").alias("__lang")).agg(F.max("__key").alias("__last"))
+    last = stored(last, "language-sample")
+    chosen = keyed.join(last, (F.col("lang") == F.col("__lang")) & (F.col("__key") <= F.col("__last")))
+    return chosen.dropDuplicates(["lang", "__key"])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +259,7 @@ class Scorer:
     def _forget(self) -> None:
         """Row 0 is for words without a letter."""
         self.known: dict[bytes, int] = {}
+        self.forms: dict[str, int] = {"": 0}
         self.used = 1
         self.rows = np.zeros((1 << 16, len(self.model.languages)))
 
@@ -260,26 +269,21 @@ class Scorer:
             self._forget()
             new = list(dict.fromkeys(words))
         plain = [letters(word) for word in new]
-        pieces = [part for word in plain for part in parts(word)]
-        if not pieces:
-            self.known.update((word, 0) for word in new)
-            return
-        distinct = {part: i for i, part in enumerate(dict.fromkeys(pieces))}
-        scores = word_scores(list(distinct), self.automaton, self.probabilities)
-        while self.used + len(distinct) + len(new) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        base = self.used
-        self.rows[base : base + len(distinct)] = scores
-        self.used += len(distinct)
-        for word, text in zip(new, plain):
-            if not text:
-                self.known[word] = 0
-            elif len(text) <= LONGEST:
-                self.known[word] = base + distinct[text]
-            else:
-                self.rows[self.used] = scores[[distinct[part] for part in parts(text)]].sum(axis=0)
-                self.known[word] = self.used
+        forms = [form for form in dict.fromkeys(plain) if form not in self.forms]
+        pieces = list(dict.fromkeys(part for form in forms for part in parts(form)))
+        if pieces:
+            place = {part: i for i, part in enumerate(pieces)}
+            scores = word_scores(pieces, self.automaton, self.probabilities)
+            while self.used + len(forms) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            for form in forms:
+                if len(form) <= LONGEST:
+                    self.rows[self.used] = scores[place[form]]
+                else:
+                    self.rows[self.used] = scores[[place[part] for part in parts(form)]].sum(axis=0)
+                self.forms[form] = self.used
                 self.used += 1
+        self.known.update((word, self.forms[form]) for word, form in zip(new, plain))
 
     def add(self, texts: list[list[bytes]], langs: list[str], scores: list[float]) -> None:
         self._meet([word for words in texts for word in words])
