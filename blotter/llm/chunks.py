@@ -99,7 +99,10 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return digests.view(np.int64), points[ends - 1], words[ends - 1]
 
 
-CHUNKS = "digest long, doc_id long, text_hash long, place int, start long, end long, words int"
+#: Stands for a missing doc_id while chunks are grouped, above all others.
+NAMELESS = (1 << 63) - 1
+
+CHUNKS = "digest long, doc_id long, text_hash int, place int, start int, end int, words int"
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +132,8 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(0).take(of),
                 batch.column(1).take(of),
                 pa.array(place, pa.int32()),
-                pa.array(start, pa.int64()),
-                pa.array(end, pa.int64()),
+                pa.array(start, pa.int32()),
+                pa.array(end, pa.int32()),
                 pa.array(words, pa.int32()),
             ],
             names=["digest", "doc_id", "text_hash", "place", "start", "end", "words"],
@@ -138,7 +141,7 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, start, end, n_words, first_doc_id, kept: one row per repeated span.
+    """doc_id, text_hash (tells rows of one doc_id apart), start, end, n_words, first_doc_id, kept: one row per repeated span.
 
     Offsets count code points, the end is exclusive. ``first_doc_id`` is the smallest
     document that has a chunk of the span; ``kept`` says that this is that document, whose copy
@@ -148,15 +151,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("text_hash"),
+        F.hash("text").alias("text_hash"),
         F.col("text").cast("binary").alias("text"),
     )
     every = rows.mapInArrow(_chunked, CHUNKS)
-    nameless = F.max(F.col("doc_id").isNull())
+    named = F.coalesce("doc_id", F.lit(NAMELESS))
     repeated = (
-        every.groupBy("digest")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), nameless.alias("nameless"))
-        .where((F.col("first") != F.col("last")) | (F.col("nameless") & F.col("first").isNotNull()))
+        every.select("digest", named.alias("named"))
+        .groupBy("digest")
+        .agg(F.min("named").alias("first"), F.max("named").alias("last"))
+        .where(F.col("first") != F.col("last"))
         .select("digest", "first")
     )
     found = every.join(repeated, "digest").drop("digest").distinct()
@@ -166,8 +170,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         found.withColumn("island", island)
         .groupBy("doc_id", "text_hash", "island")
         .agg(
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
+            F.min("start").cast("long").alias("start"),
+            F.max("end").cast("long").alias("end"),
             F.sum("words").alias("n_words"),
             F.min("first").alias("first_doc_id"),
         )
@@ -202,7 +206,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     spans = stored(spans, "repeated-spans")
     joined = docs.join(
         spans,
-        docs["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (F.xxhash64(docs["text"]) == spans["__hash"]),
+        docs["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (F.hash(docs["text"]) == spans["__hash"]),
         "left",
     ).withColumn("__text", _without("text", "__spans"))
     replaced = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
