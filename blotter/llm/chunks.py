@@ -9,8 +9,9 @@ smallest exists, a chunk ends after ``LONGEST`` bytes. Cuts fall between charact
 
 Chunks are deduplicated by digest: those that occur in more than one document are found
 by a grouping that is added up in the map tasks, so a passage that a third of all documents share
-sends one row per task. Neighbouring repeated chunks make up a span. Single chunks hold a
-few words that may recur by chance, so a span counts from ``MIN_WORDS`` words on; of a
+sends one row per task. Neighbouring repeated chunks make up a run, and those of a run that stay in
+the same document a span. Single chunks hold a
+few words that may recur by chance, so a run counts from ``MIN_WORDS`` words on; of a
 passage of over 50 words only its ends, cut by the text around it, are missing. For the same reason 64
 bits of digest are enough: a wrong span takes several collisions in a row.
 """
@@ -24,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -143,9 +144,12 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash (tells rows of one doc_id apart), start, end, n_words, first_doc_id, kept: one row per repeated span.
 
-    Offsets count code points, the end is exclusive. ``first_doc_id`` is the smallest
-    document that has a chunk of the span; ``kept`` says that this is that document, whose copy
-    stays. A document whose text shares nothing with others has no row, nor has null or empty
+    Offsets count code points, the end is exclusive. Each repeated chunk stays in the smallest
+    document that has it, so no text is lost, whatever stands beside it. A run of repeated chunks
+    counts from ``MIN_WORDS`` words on and is split where that document changes; ``first_doc_id``
+    names it, ``kept`` says that it is this one. Chunks that another document has first stay, too, and
+    belong to the kept span, where fewer than ``MIN_WORDS`` words of them stand in a row beside own
+    ones: cutting a few words that recur by chance would leave holes in the one copy. A document whose text shares nothing with others has no row, nor has null or empty
     text. Rows that share a doc_id are one document, so repeated rows are no repeats; rows
     without one are a document together. Other columns are not looked at.
     """
@@ -164,23 +168,46 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .select("digest", "first")
     )
     found = every.join(repeated, "digest").drop("digest").distinct()
-    doc = Window.partitionBy("doc_id", "text_hash").orderBy("place")
-    island = F.col("place") - F.row_number().over(doc)
-    return (
-        found.withColumn("island", island)
-        .groupBy("doc_id", "text_hash", "island")
+    row = ("doc_id", "text_hash")
+    same = Window.partitionBy(*row, "first").orderBy("place")
+    pieces = (
+        found.withColumn("piece", F.col("place") - F.row_number().over(same))
+        .groupBy(*row, "first", "piece")
         .agg(
+            F.min("place").alias("place"),
+            F.count("*").alias("n"),
             F.min("start").cast("long").alias("start"),
             F.max("end").cast("long").alias("end"),
+            F.sum("words").alias("words"),
+        )
+        .withColumn("own", F.coalesce(F.col("doc_id") == F.col("first"), F.lit(False)))
+        .withColumn("island", _run(*row))
+        .withColumn("stretch", _run(*row, "own"))
+        .withColumn("island_words", F.sum("words").over(Window.partitionBy(*row, "island")))
+        .withColumn("stretch_words", F.sum("words").over(Window.partitionBy(*row, "own", "stretch")))
+        .where(F.col("island_words") >= MIN_WORDS)
+        .withColumn("kept", F.col("own") | (F.col("stretch_words") < MIN_WORDS))
+        .withColumn("first_doc_id", F.when(F.col("kept"), F.col("doc_id")).otherwise(F.col("first")))
+    )
+    return (
+        pieces.withColumn("span", _run(*row, "first_doc_id"))
+        .groupBy(*row, "first_doc_id", "span")
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
             F.sum("words").alias("n_words"),
-            F.min("first").alias("first_doc_id"),
+            F.first("kept").alias("kept"),
         )
-        .where(F.col("n_words") >= MIN_WORDS)
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("first_doc_id"), F.lit(False)))
-        .drop("island")
+        .select(*row, "start", "end", "n_words", "first_doc_id", "kept")
     )
 
 
+def _run(*keys: str) -> Column:
+    """The same number for pieces that follow each other without a gap and agree in ``keys``."""
+    ahead = Window.partitionBy(*keys).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    return F.col("place") - F.coalesce(F.sum("n").over(ahead), F.lit(0))
+
+
 @F.pandas_udf(StringType())
 def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([without(text, listed) for text, listed in zip(texts, spans)], dtype="object")

@@ -106,6 +106,33 @@ def test_edge_cases(spark, clashing):
     assert len(texts[2]) < 100 and texts[7].startswith("é😀") and len(texts[7]) < 200
 
 
+def test_every_repeated_chunk_keeps_one_copy(spark):
+    """Copies that also hold a passage of an earlier document, and overlaps of different extent."""
+    shared, own, other = sentence("shared", 80), sentence("own", 150), sentence("other", 90)
+    copy = f"{own} {shared} {other}"
+    data = [(3, f"{sentence(3, 50)} {shared}", "en", "a", 1), (100, copy, "en", "a", 1), (101, copy, "en", "a", 1)]
+    data += [(102, f"{other} {sentence(102, 40)}", "en", "a", 1), (None, copy, "en", "a", 1)]
+    # A few words of the copies recur in an earlier document by chance.
+    data += [(2, f"{sentence(2, 30)} {' '.join(own.split()[60:75])} {sentence(22, 30)}", "en", "a", 1)]
+    docs = documents(spark, data, clashing=True)
+    texts = {d: t for d, t, *_ in data}
+    gone = {}
+    for r in chunks.repeated_spans(docs).where("NOT kept").collect():
+        assert texts[r["doc_id"]][r["start"] : r["end"]] in texts[r["first_doc_id"]]
+        gone.setdefault(r["doc_id"], []).append(r)
+    left_somewhere, every = set(), set()
+    for doc_id, text in texts.items():
+        digests, ends, _ = chunks.chunks(text.encode())
+        for digest, start, end in zip(digests.tolist(), [0, *ends.tolist()], ends.tolist()):
+            every.add(digest)
+            if not any(r["start"] < end and start < r["end"] for r in gone.get(doc_id, [])):
+                left_somewhere.add(digest)
+    assert left_somewhere == every
+    left = {r["doc_id"]: r["text"] for r in chunks.deduplicated(docs).collect()}
+    assert own in left[100] and shared in left[3] and other[50:] in left[100]
+    assert len(left[101]) < 100 and len(left[None]) < 100 and len(left[102]) < len(texts[102]) - 400
+
+
 def test_empty_table(spark):
     assert listed(chunks.repeated_spans(documents(spark, []))) == []
     assert listed(chunks.deduplicated(documents(spark, []))) == []
