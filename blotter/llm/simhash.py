@@ -93,10 +93,11 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, fp, component_id for every row of ``docs``.
+    """doc_id, text_hash, fp, component_id, root for every row of ``docs``.
 
     ``component_id`` is the smallest doc_id that can be reached over links, null if none of
-    them has one. Null text is as empty text: fingerprint 0, linked like any other. Rows
+    them has one. Components may share it, if ids are missing or used twice; ``root``, the smallest
+    fingerprint of the component, tells them apart. Null text is as empty text: fingerprint 0, linked like any other. Rows
     that are repeated come back as often; other columns are not looked at.
     """
     prints = stored(
@@ -110,20 +111,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = least.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = rooted.join(named, "root").select("fp", "component_id")
+    names = rooted.join(named, "root").select("fp", "component_id", "root")
     return prints.join(names, "fp")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, the one with the smallest doc_id, with all its columns.
 
+    Missing or repeated doc_ids make no component of texts that do not link.
     Of rows with the same doc_id the one with the smallest text hash stays, of rows that
     are the same in both any one.
     """
     same = F.struct("doc_id", "text_hash")
     kept = (
         near_duplicates(docs)
-        .groupBy("component_id")
+        .groupBy("root")
         .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), same)).alias("k"))
         .select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
     )

@@ -7,7 +7,7 @@ import xxhash
 from blotter.llm import simhash
 from blotter.llm.components import components
 from pyspark.sql import functions as F
-from tables import documents, listed, rows
+from tables import documents, listed, rows, sentence
 
 
 def by_hand(text):
@@ -95,6 +95,19 @@ def test_one_of_each_stays(spark):
     assert sorted(ids) == sorted(set(components_of.values()))
 
 
+def test_ids_do_not_join_different_texts(spark):
+    """Null ids, and an id that stands for different texts: one row of each text stays."""
+    texts = [sentence(("ids", i), 60) for i in range(6)]
+    data = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3])]
+    data += [(None, texts[4]), (9, texts[4]), (7, texts[5]), (7, texts[5])]
+    docs = documents(spark, [(d, t, "en", "a", 1) for d, t in data], clashing=True)
+    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one(docs).select("doc_id", "text").collect()]
+    expected = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4]), (7, texts[5])]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+    roots = {(r["text_hash"], r["root"]) for r in simhash.near_duplicates(docs).collect()}
+    assert len(roots) == len({root for _, root in roots}) == len(texts)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(100)] + [(5000, 5000)]
     found = dict((r["node"], r["root"]) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
