@@ -1,27 +1,28 @@
-"""Mixture-controlled packing: deficit round-robin over the queues of the sources.
-
-The tokens of a source form a queue. In turn a source is served ``QUANTUM`` tokens; the next turn
-goes to the source that is furthest behind its share of all tokens, so every window of
-``WINDOW`` tokens holds ``WINDOW / QUANTUM`` servings and each source is at any time within one
-serving of its share: what a window could not give is the deficit it carries over. All queues
-last until the end, so the turns need no walk over the windows: serving j of a source
-with n servings is due at (2j + 1) / 2n of the way, and the place of a serving is its rank
-among all that are due earlier. Deficits carry over windows and partitions alike because both
-follow from the ranks.
-
-Ranks and queue positions are prefix sums over ranges: per task of the tokenizing job and
-source for the queues, per stretch of due times for the servings. Nothing is sorted whole, and
-token ids never go through a shuffle: they are stored once and cut where they lie.
-
-The last, partial serving of each source goes to the end. Windows are full but for the very
-last one.
+"""Mixture-controlled packing: deficit round-robin over the queues of the sources, token by token.
+
+The tokens of a source form a queue, and every source has a target weight: its own tokens, if none
+is given. The next token is always that of the source that is furthest behind its target: token j
+of a source with weight p is due at (j + 1/2) / p, and the stream is in the order of the due times.
+Window w holds tokens ``WINDOW`` * w up to ``WINDOW`` * (w + 1) of it, gathered by source.
+So each window meets the target proportions as far as whole tokens go, and what a
+window could not give is the deficit that the next ones make up for. A queue that has run out drops
+out, and the others go on in proportion to their weights.
+
+All this needs no walk over the windows. Up to time y a source has given floor(p * y + 1/2) tokens, or all
+it has; the time at which this adds up to a window's first token is found by bisection, for any
+window on its own, from the sizes of the queues alone. Queue positions are prefix sums per task
+of the tokenizing job and source. Nothing is sorted, and token ids never go through a
+shuffle: they are stored once and cut where they lie. The sizes of the queues, a number per source,
+are collected and sent to all tasks.
+
+Windows are full but for the very last one.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,13 @@ from pyspark.sql import functions as F
 from blotter.sources import stored
 
 WINDOW = 2048
-QUANTUM = 512
+#: Tokens of a serving.
+QUANTUM = 1
 END_ID = 1
-#: Servings that are ranked together, about.
-STRETCH = 4096
+#: Windows times sources whose cuts are worked out together, about.
+CUTS = 1 << 20
+#: Halvings until no number lies between the ends.
+HALVINGS = 64
 #: Words whose ids a task keeps; at that number it starts anew.
 KNOWN_WORDS = 500_000
 
@@ -47,38 +51,78 @@ MARKS = b".,!?;:#$%&*|"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place int, serving long, inside long, tail long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def packed(docs: DataFrame, tokenizer_file: str) -> DataFrame:
+def packed(
+    docs: DataFrame, tokenizer_file: str, targets: Mapping[str | None, float] | None = None
+) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Null text is as empty text: one piece with the end id. Repeated rows are packed each, a
-    null source is a source, other columns are not looked at. An empty table gives no piece.
+    ``targets`` has a positive weight for every source (None: as many as it has tokens, so all queues
+    last until the end). Null text is as empty text: one piece with the end id. Repeated rows are
+    packed each, a null source is a source, other columns are not looked at. An empty table
+    gives no piece.
     """
     tokens = stored(tokenized(docs, tokenizer_file), "pack-tokens")
-    queues = stored(_queues(tokens), "pack-queues")
-    starts = stored(_starts(tokens, queues), "pack-starts")
+    sums = stored(tokens.groupBy("part", "source").agg(F.sum("n").alias("n")), "pack-sums")
+    totals = {r["source"]: r["n"] for r in sums.groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    names = sorted(totals, key=lambda name: (name is None, name or ""))
+    sizes = np.array([totals[name] for name in names], dtype=np.int64)
+    starts = stored(_starts(sums), "pack-starts")
     located = tokens.join(
         starts, (F.col("part") == F.col("s_part")) & F.col("source").eqNullSafe(F.col("s_source"))
-    ).select(
-        "doc_id", "ids", "n", (F.col("start") + F.col("before")).alias("at"), "place", "servings", "tail_at"
-    )
-    pieces = located.mapInArrow(_cut, PIECES)
-    # Spark takes the opened-out turns for as small as the table of sources; they grow with the data.
-    served = pieces.where("tail IS NULL").join(_slots(queues).hint("merge"), ["place", "serving"])
-    tail = pieces.where("tail IS NOT NULL")
-    position = F.col("slot") * QUANTUM + F.col("inside")
-    columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-    return (
-        served.select(*columns, position.alias("at"))
-        .unionByName(tail.select(*columns, F.col("tail").alias("at")))
-        .select(
-            *columns,
-            F.floor(F.col("at") / WINDOW).cast("long").alias("sequence_id"),
-            (F.col("at") % WINDOW).cast("long").alias("offset"),
-        )
-    )
+    ).select("doc_id", "ids", "n", (F.col("start") + F.col("before")).alias("at"), "place")
+    return located.mapInArrow(_cutter(Windows(sizes, _weights(names, sizes, targets))), PIECES)
+
+
+def _weights(names: list[str | None], sizes: np.ndarray, targets: Mapping[str | None, float] | None) -> np.ndarray:
+    if targets is None:
+        return sizes.astype(np.float64)
+    missing = [name for name in names if not targets.get(name, 0) > 0]
+    if missing:
+        raise ValueError(f"no positive target for {missing}")
+    return np.array([targets[name] for name in names], dtype=np.float64)
+
+
+class Windows:
+    """Which part of each queue every window holds."""
+
+    def __init__(self, sizes: np.ndarray, weights: np.ndarray) -> None:
+        self.sizes, self.weights, self.total = sizes, weights, int(sizes.sum())
+        self.last = max(-(-self.total // WINDOW) - 1, 0)
+
+    def given(self, time: np.ndarray) -> np.ndarray:
+        """Tokens of each source (columns) that are due by each time (rows)."""
+        due = np.floor(time[:, None] * self.weights + 0.5)
+        return np.minimum(due, self.sizes).astype(np.int64)
+
+    def begins(self, windows: np.ndarray) -> np.ndarray:
+        """Queue positions of each source (columns) at which the windows (rows) begin.
+
+        All windows halve the same interval equally often, so the ends they arrive at are the same or
+        apart, and positions never fall from one window to the next. Tokens that are due at the
+        same time follow in the order of the sources.
+        """
+        rank = np.minimum(windows * WINDOW, self.total)
+        low = np.zeros(len(rank))
+        high = np.full(len(rank), (self.sizes / self.weights).max())
+        for _ in range(HALVINGS):
+            middle = (low + high) / 2
+            early = self.given(middle).sum(axis=1) <= rank
+            low, high = np.where(early, middle, low), np.where(early, high, middle)
+        at_low = self.given(low)
+        room = self.given(high) - at_low
+        ahead = np.cumsum(room, axis=1) - room
+        missing = rank - at_low.sum(axis=1)
+        return at_low + np.clip(missing[:, None] - ahead, 0, room)
+
+    def around(self, places: np.ndarray, positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last window in which the tokens at these queue positions may be."""
+        rank = self.given((positions + 0.5) / self.weights[places]).sum(axis=1)
+        slack = len(self.sizes) + 2
+        first, last = (rank - slack) // WINDOW, (rank + slack) // WINDOW
+        return np.clip(first, 0, self.last), np.clip(last, 0, self.last)
 
 
 def tokenized(docs: DataFrame, tokenizer_file: str) -> DataFrame:
@@ -190,88 +234,60 @@ def _tokenizer(file: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _queues(tokens: DataFrame) -> DataFrame:
-    """One row per source: place (code-point order), tokens, whole servings, and where its
-    last, partial serving begins in the packed stream."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    totals = tokens.groupBy("source").agg(F.sum("n").alias("tokens"))
-    served = F.floor(F.col("tokens") / QUANTUM)
-    rest = F.col("tokens") - QUANTUM * F.col("servings")
-    placed = totals.withColumns(
-        {"place": F.row_number().over(order) - 1, "servings": served.cast("long")}
-    ).withColumn("all_servings", F.sum("servings").over(Window.partitionBy()))
-    tail = QUANTUM * F.col("all_servings") + F.coalesce(F.sum(rest).over(before), F.lit(0))
-    return placed.withColumn("tail_at", tail)
-
-
-def _starts(tokens: DataFrame, queues: DataFrame) -> DataFrame:
-    """Where the tokens of each part and source begin in the queue of the source."""
+def _starts(sums: DataFrame) -> DataFrame:
+    """Where the tokens of each part and source begin in the queue of the source, and the place of
+    the source (code-point order)."""
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = tokens.groupBy("part", "source").agg(F.sum("n").alias("n"))
-    sums = sums.withColumn("start", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-    sums = sums.select(F.col("part").alias("s_part"), F.col("source").alias("s_source"), "start")
-    return sums.join(queues, F.col("s_source").eqNullSafe(F.col("source"))).select(
-        "s_part", "s_source", "start", "place", "servings", "tail_at"
+    order = Window.orderBy(F.col("source").asc_nulls_last())
+    places = sums.select("source").distinct().withColumn("place", F.row_number().over(order) - 1)
+    starts = sums.withColumn("start", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    starts = starts.select(F.col("part").alias("s_part"), F.col("source").alias("s_source"), "start")
+    return starts.join(places, F.col("s_source").eqNullSafe(F.col("source"))).select(
+        "s_part", "s_source", "start", "place"
     )
 
 
-def _slots(queues: DataFrame) -> DataFrame:
-    """place, serving, slot: the turn at which each whole serving is given."""
-    step = F.lit(STRETCH)
-    blocks = queues.where("servings > 0").select(
-        "place",
-        "servings",
-        "all_servings",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("servings") - 1) / step))).alias("b"),
-    )
-    # A large source is opened out by many tasks.
-    blocks = blocks.repartition("place", "b")
-    first = F.col("b") * step
-    servings = blocks.select(
-        "place",
-        "servings",
-        "all_servings",
-        F.explode(F.sequence(first, F.least(first + step, F.col("servings")) - 1)).alias("serving"),
-    )
-    due = (2 * F.col("serving") + 1) / (2 * F.col("servings"))
-    stretches = F.ceil(F.col("all_servings") / STRETCH)
-    stretched = servings.withColumn("due", due).withColumn("stretch", F.floor(F.col("due") * stretches))
-    ahead = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    sums = stretched.groupBy("stretch").agg(F.count("*").alias("size"))
-    sums = sums.select(
-        F.col("stretch").alias("of"), F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("first")
-    )
-    inside = Window.partitionBy("stretch").orderBy("due", "place")
-    ranked = stretched.withColumn("rank", F.row_number().over(inside) - 1)
-    return ranked.join(sums.hint("merge"), F.col("stretch") == F.col("of")).select(
-        "place", "serving", (F.col("first") + F.col("rank")).alias("slot")
-    )
+def _cutter(windows: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A piece for each window that a document reaches into."""
+    names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc_ids, ids = batch.column(0).to_pylist(), batch.column(1)
+            n, at, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+            # A part at a time: documents times sources, then windows times sources.
+            step = max(CUTS // len(windows.sizes), 1)
+            for begin in range(0, len(n), step):
+                part = slice(begin, begin + step)
+                first = windows.around(place[part], at[part])[0]
+                last = windows.around(place[part], at[part] + n[part] - 1)[1]
+                ahead = np.cumsum(last - first + 2) * len(windows.sizes) // CUTS
+                for group in np.split(np.arange(len(first)), np.flatnonzero(np.diff(ahead)) + 1):
+                    rows: list[list] = [[] for _ in names]
+                    wanted = np.unique(np.concatenate([np.arange(first[i], last[i] + 2) for i in group]))
+                    begins = windows.begins(wanted)
+                    before = np.cumsum(begins, axis=1) - begins
+                    for i in group:
+                        row = begin + i
+                        size, source, position = int(n[row]), place[row], int(at[row])
+                        words = np.frombuffer(ids[row].as_py(), dtype="<u2").astype("<u4")
+                        near = slice(*np.searchsorted(wanted, (first[i], last[i] + 2)))
+                        cuts, shift = begins[near, source].tolist(), before[near, source].tolist()
+                        start, k = 0, 0
+                        while start < size:
+                            while cuts[k + 1] <= position + start:
+                                k += 1
+                            length = min(cuts[k + 1] - position - start, size - start)
+                            crc = zlib.crc32(words[start : start + length].tobytes())
+                            offset = shift[k + 1] - shift[k] + position + start - cuts[k]
+                            piece = (doc_ids[row], start, length, crc, size, int(first[i]) + k, offset)
+                            for column, value in zip(rows, piece):
+                                column.append(value)
+                            start += length
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(column, pa.int64()) for column in rows], names=list(names)
+                    )
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A piece for each serving that a document reaches into; partial servings, whose place is
-    already known, are cut at windows instead."""
-    names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "place", "serving", "inside", "tail")
-    types = [pa.int64()] * 5 + [pa.int32()] + [pa.int64()] * 3
-    for batch in batches:
-        rows: list[list] = [[] for _ in names]
-        for doc_id, ids, n, at, place, servings, tail_at in zip(*(c.to_pylist() for c in batch.columns)):
-            words = np.frombuffer(ids, dtype="<u2").astype("<u4")
-            start = 0
-            while start < n:
-                serving = (at + start) // QUANTUM
-                inside = (at + start) % QUANTUM
-                if serving < servings:
-                    length, tail = min(QUANTUM - inside, n - start), None
-                else:
-                    tail = tail_at + at + start - servings * QUANTUM
-                    length = min(WINDOW - tail % WINDOW, n - start)
-                crc = zlib.crc32(words[start : start + length].tobytes())
-                piece = (doc_id, start, length, crc, n, place, serving, inside, tail)
-                for column, value in zip(rows, piece):
-                    column.append(value)
-                start += length
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(rows, types)], names=list(names)
-        )
+    return run

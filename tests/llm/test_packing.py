@@ -89,6 +89,50 @@ def test_windows_follow_the_shares(spark, tokenizer):
                 assert abs(served[source] - share[source] * so_far) <= 2 * packing.QUANTUM
 
 
+@pytest.mark.parametrize("targets", [None, {f"s{i}": 1 + i % 3 for i in range(20)}])
+def test_every_window_has_the_target_proportions(spark, tokenizer, targets):
+    """Twenty sources, each of them in every window; queues that run out leave the others their proportions."""
+    data = [(i, sentence(("mix", i), 300), "en", f"s{i % 20}", 1) for i in range(400)]
+    data += [(1000 + i, sentence(("mix", i), 9), "en", f"tiny{i}", 1) for i in range(0 if targets else 3)]
+    pieces = packing.packed(documents(spark, data).repartition(4), tokenizer_file(), targets).collect()
+    check(pieces, [(r[0], r[1]) for r in data], tokenizer)
+    source_of = {r[0]: r[3] for r in data}
+    windows, left = defaultdict(Counter), Counter()
+    for p in pieces:
+        windows[p["sequence_id"]][source_of[p["doc_id"]]] += p["length"]
+        left[source_of[p["doc_id"]]] += p["length"]
+    weights = targets or dict(left)
+    for number in range(max(windows)):
+        lasting = {source: weights[source] for source in weights if left[source] > windows[number][source]}
+        spent = sum(windows[number][source] for source in weights if source not in lasting)
+        for source, weight in lasting.items():
+            due = (WINDOW - spent) * weight / sum(lasting.values())
+            # One token for rounding and one for the deficits of the others, where no queue ends.
+            slack = 2 if not spent else WINDOW
+            assert abs(windows[number][source] - due) <= slack
+        left.subtract(windows[number])
+    assert sum(len(w) >= 20 for w in windows.values()) > len(windows) / 3
+    if targets:
+        with pytest.raises(ValueError):
+            packing.packed(documents(spark, data), tokenizer_file(), {"s0": 1})
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9000), st.floats(0.01, 100)), min_size=1, max_size=40), st.booleans())
+def test_windows_cut_every_queue_once(queues, own):
+    sizes = np.array([size for size, _ in queues])
+    weights = sizes.astype(float) if own else np.array([weight for _, weight in queues])
+    found = packing.Windows(sizes, weights)
+    begins = found.begins(np.arange(found.last + 2))
+    assert (np.diff(begins, axis=0) >= 0).all() and (begins[0] == 0).all() and (begins[-1] == sizes).all()
+    assert (np.diff(begins.sum(axis=1))[:-1] == WINDOW).all()
+    for place, size in enumerate(sizes.tolist()):
+        positions = np.arange(size)
+        first, last = found.around(np.full(size, place), positions)
+        window = np.searchsorted(begins[:, place], positions, side="right") - 1
+        assert (first <= window).all() and (window <= last).all()
+
+
 def test_empty_table(spark):
     assert packing.packed(documents(spark, []), tokenizer_file()).count() == 0
 
