@@ -13,14 +13,17 @@ and instances (identifier-like tokens: at least ``MIN_LENGTH`` characters with
 A token whose score reaches ``MIN_SCORE`` and that stands behind an accepted pattern becomes a
 span of the kind most known instances of that pattern have. Occurrences of a context are
 counted over all texts, also where no identifier follows, so words such as "the" never
-pass. The texts are read twice: for seeds and tokens, then to count the contexts that seeds
-have suggested. What that second pass may count is told to the tasks as a bitmap of fixed size;
-a context that only shares a bit is dropped by the join that follows.
+pass. The texts are read for seeds and tokens, then to count the contexts that seeds have suggested,
+and again in each round in which newly found instances suggest contexts not yet counted: a context may
+become a pattern that no seed ever follows. Its kind comes with the instances. What a pass may
+count is told to the tasks as a bitmap of fixed size; a context that only shares a bit is
+dropped by the join that follows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -43,6 +46,7 @@ MIN_DIGITS = 4
 MIN_SUPPORT = 5
 MIN_CONFIDENCE = 0.5
 MIN_SCORE = 0.5
+#: Rounds at least; they go on while they find anything new.
 ROUNDS = 3
 #: Size of the bitmap of suggested contexts: 2**BITMAP_BITS bits, 4 MB.
 BITMAP_BITS = 25
@@ -233,8 +237,7 @@ def found_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.count("*").alias("n")),
         "pii-graph",
     )
-    totals = _context_totals(docs, edges)
-    patterns = _patterns(edges, totals)
+    patterns = _patterns(docs, edges)
     new = places.where("kind IS NULL").withColumn("context", F.explode("contexts"))
     spans = (
         new.drop("kind")
@@ -250,21 +253,28 @@ def found_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return scan, spans
 
 
-def _suggested(edges: DataFrame) -> DataFrame:
-    """Contexts with enough different seeds behind them."""
+def _known(found: DataFrame) -> DataFrame:
+    """instance, score, kind: each instance once, with its best score and the kind that goes with it."""
+    best = found.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("best"))
+    return stored(best.select("instance", "best.score", "best.kind"), "pii-known")
+
+
+def _suggested(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """Contexts with enough different known instances behind them."""
     return (
-        edges.where("kind IS NOT NULL")
+        edges.join(known.select("instance"), "instance")
         .groupBy("context")
         .agg(F.count_distinct("instance").alias("support"))
         .where(F.col("support") >= MIN_SUPPORT)
+        .select("context")
     )
 
 
-def _context_totals(docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """context, total: how often each suggested context occurs in all texts."""
+def _context_totals(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """context, total: how often each of ``contexts`` occurs in all texts."""
     bits = 1 << BITMAP_BITS
     suggested = stored(
-        _suggested(edges).select("context", F.pmod("context", F.lit(bits)).alias("bit")), "pii-suggested"
+        contexts.select("context", F.pmod("context", F.lit(bits)).alias("bit")), "pii-suggested"
     )
     # 2**BITMAP_BITS bits at most, however many contexts there are.
     marks = suggested.groupBy(F.floor(F.col("bit") / BITMAP_ROW).alias("of")).agg(
@@ -301,18 +311,32 @@ def _context_totals(docs: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(counted.join(suggested.select("context"), "context"), "pii-totals")
 
 
-def _patterns(edges: DataFrame, totals: DataFrame) -> DataFrame:
-    """context, share, kind of the accepted patterns after ``ROUNDS`` rounds, fewer if there are none."""
-    seeds = edges.where("kind IS NOT NULL").select("instance", F.lit(1.0).alias("score")).distinct()
-    known = seeds
-    for _ in range(ROUNDS):
-        scored = edges.join(known, "instance")
+def _patterns(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """context, share, kind of the accepted patterns.
+
+    Each round, contexts that the instances known by then suggest for the first time are
+    counted in all texts. Rounds end when, after ``ROUNDS`` of them, one has brought no new context,
+    pattern or instance, or earlier if no pattern passes.
+    """
+    seeds = edges.where("kind IS NOT NULL").select("instance", F.lit(1.0).alias("score"), "kind").distinct()
+    known, totals, before = _known(seeds), None, None
+    for number in itertools.count(1):
+        fresh = _suggested(edges, known)
+        if totals is not None:
+            fresh = fresh.join(totals, "context", "left_anti")
+        fresh = stored(fresh, "pii-fresh")
+        news = not fresh.isEmpty()
+        if totals is None:
+            totals = _context_totals(docs, fresh)
+        elif news:
+            totals = totals.unionByName(_context_totals(docs, fresh))
+        scored = edges.join(known.withColumnRenamed("kind", "known_kind"), "instance")
         patterns = (
             scored.groupBy("context")
             .agg(
                 F.sum(F.col("n") * F.col("score")).alias("hits"),
                 F.count_distinct("instance").alias("support"),
-                F.mode("kind", deterministic=True).alias("kind"),
+                F.mode(F.coalesce("kind", "known_kind"), deterministic=True).alias("kind"),
             )
             .where(F.col("support") >= MIN_SUPPORT)
             .join(totals, "context")
@@ -320,17 +344,25 @@ def _patterns(edges: DataFrame, totals: DataFrame) -> DataFrame:
             .where((F.col("share") >= MIN_CONFIDENCE) & F.col("kind").isNotNull())
         )
         patterns = stored(patterns, "pii-patterns")
-        if patterns.isEmpty():
+        passed = patterns.count()
+        if not passed:
             break
         reached = (
-            edges.join(patterns.select("context", "share"), "context")
+            edges.drop("kind")
+            .join(patterns, "context")
             .groupBy("instance")
-            .agg((1 - F.exp(F.sum(F.log1p(-F.least("share", F.lit(0.999999)))))).alias("score"))
+            .agg(
+                (1 - F.exp(F.sum(F.log1p(-F.least("share", F.lit(0.999999)))))).alias("score"),
+                F.max(F.struct("share", "kind")).alias("best"),
+            )
             .where(F.col("score") >= MIN_SCORE)
+            .select("instance", "score", F.col("best.kind").alias("kind"))
         )
-        known = stored(
-            seeds.unionByName(reached).groupBy("instance").agg(F.max("score").alias("score")), "pii-known"
-        )
+        known = _known(seeds.unionByName(reached))
+        after = (passed, known.count())
+        if number >= ROUNDS and not news and after == before:
+            break
+        before = after
     return patterns
 
 

@@ -99,6 +99,23 @@ def test_patterns_find_unseen_identifiers(spark):
     assert all(rows[i]["n_found"] == 0 for i in range(12))
 
 
+def test_contexts_of_found_identifiers_find_more(spark):
+    """Staff numbers found behind a seed context stand behind a second one, what is found there behind a third."""
+    data = [(i, f"{sentence(i, 9)} contact mail ann{i}@example.com {sentence(-i, 5)}", "en", "a", 1) for i in range(12)]
+    for i in range(8):
+        data.append((100 + i, f"{sentence(i, 9)} contact mail STAFF#{20240 + i} {sentence(-i, 5)}", "en", "a", 1))
+        data.append((200 + i, f"{sentence(i, 9)} badge no STAFF#{20240 + i} {sentence(-i, 5)}", "en", "a", 1))
+    for i in range(6):
+        data.append((300 + i, f"{sentence(i, 9)} badge no CARD#{70010 + i} {sentence(-i, 5)}", "en", "a", 1))
+        data.append((400 + i, f"{sentence(i, 9)} desk slot CARD#{70010 + i} {sentence(-i, 5)}", "en", "a", 1))
+    data.append((500, f"{sentence(0, 9)} desk slot LAST#99001 {sentence(1, 5)}", "en", "a", 1))
+    data.append((600, f"{sentence(0, 9)} order number LAST#99002 {sentence(1, 5)}", "en", "a", 1))
+    found = {r["doc_id"]: r for r in personal.personal_data(documents(spark, data)).collect()}
+    assert {d for d, r in found.items() if r["n_found"]} == {d for d, *_ in data if 100 <= d < 600}
+    start = data[-2][1].index("LAST#99001")
+    assert found[500]["spans"] == f"email:{start}:{start + len('LAST#99001')}"
+
+
 def test_masking(spark):
     docs = documents(spark, corpus() + rows(), clashing=True)
     masked = personal.masked(docs)
