@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, chunks, langid, maxscore, mixing, packing, pages, personal, quality, simhash
+from blotter.llm import bpe, chat, chunks, langid, maxscore, mixing, packing, pages, personal, quality, simhash
 from blotter.llm.sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,20 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_data(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = _table(spark, sf_dir, "documents").select(
+        "doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids")
+    )
+    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), vocabulary))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_maxscore": op1_maxscore,
     "op2_mixing": op2_mixing,
@@ -89,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_personal_data": op10_personal_data,
+    "op13_bpe": op13_bpe,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
