@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import bpe, chat, chunks, langid, maxscore, mixing, packing, pages, personal, quality, simhash
+from blotter.llm import bpe, chat, chunks, langid, maxscore, mixing, packing, pages, personal, quality, runs, simhash
 from blotter.llm.sql import ORACLE
+from blotter.llm.words import word_count, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +79,41 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_data(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _table(spark, sf_dir, "documents").select(
+        "doc_id", runs.runs(_with_periods(F.col("doc_id"), F.col("text"))).alias("found")
+    )
+    found = found.select("doc_id", "found.runs", "found.collapsed")
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    )
+    named = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.transform(named, lambda line: F.concat(line, F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length DIV -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _with_periods(doc_id: Column, text: Column) -> Column:
+    """Of a tenth of the documents, from some word on, some words over and over."""
+    crc = F.crc32(doc_id.cast("string").cast("binary"))
+    rest = F.floor(crc / 10)
+    listed, count = words(text), word_count(text)
+    first = (rest % count).cast("int")
+    period = (F.floor((count - first) / (3 + rest % 8)) + 1).cast("int")
+    times = F.ceil((count - first) / period).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(listed, first + 1, period), times))
+    changed = F.concat(F.slice(listed, F.lit(1), first), F.slice(again, F.lit(1), (count - first).cast("int")))
+    return F.when((crc % 10 == 0) & (count > 0), F.array_join(changed, " ")).otherwise(text)
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     encoded = _table(spark, sf_dir, "documents").select(
@@ -103,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_personal_data": op10_personal_data,
+    "op11_runs": op11_runs,
     "op13_bpe": op13_bpe,
 }
 

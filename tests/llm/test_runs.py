@@ -1,0 +1,148 @@
+"""Runs against a search of every period at every place."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from blotter.llm import runs
+from blotter.llm.queries import op11_runs
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tables import documents, sentence
+
+
+def by_hand(words, shortest=runs.SHORTEST):
+    """start, length, period; a stretch with period q is one of a shorter period, if it has that, too."""
+    found, size = {}, len(words)
+    for period in range(1, size // 2 + 1):
+        place = 0
+        while place + period < size:
+            end = place
+            while end + period < size and words[end] == words[end + period]:
+                end += 1
+            length = end + period - place
+            if end > place and length >= max(shortest, 2 * period):
+                found.setdefault((place, length), period)
+            place = end + 1
+    return sorted((start, length, period) for (start, length), period in found.items())
+
+
+def listed(rows):
+    return [tuple(row) for row in rows.tolist()]
+
+
+few = st.lists(st.integers(0, 2), max_size=60)
+built = st.lists(st.tuples(st.lists(st.integers(0, 4), min_size=1, max_size=6), st.integers(1, 7)), max_size=6).map(
+    lambda parts: [w for part, times in parts for w in part * times]
+)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.one_of(few, built))
+def test_all_runs(words):
+    rows = runs.runs_of(words)
+    assert listed(rows) == by_hand(words)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(few, built))
+def test_runs_of_two_periods_and_any_length(words):
+    if words:
+        known = {}
+        rows = runs._all_runs([known.setdefault(w, len(known)) for w in words])
+        assert sorted(listed(rows)) == by_hand(words, 2)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(few, built).filter(bool))
+def test_trees(words):
+    tree, size = runs.SuffixTree(words), len(words)
+    i, j = np.triu_indices(size, 1)
+    if len(i):
+        for a, b, same in zip(i.tolist(), j.tolist(), tree.lce(i, j).tolist()):
+            assert words[a : a + same] == words[b : b + same]
+            assert b + same == size or words[a + same] != words[b + same]
+    for falling in (False, True):
+        order = sorted(range(size), key=lambda k: [-w if falling else w for w in words[k:]])
+        assert np.argsort(tree.ranks(falling)).tolist() == order
+
+
+@pytest.mark.parametrize("words", [["a"] * 3000, list("ab") * 1500 + ["c"], list(range(500)) * 5, sentence("r", 800).split() * 3])
+def test_long_runs(words):
+    rows = listed(runs.runs_of(words))
+    shortest = min(p for p in range(1, len(words)) if words[p:p + 400] == words[:400])
+    length = next((k for k in range(shortest, len(words)) if words[k] != words[k - shortest]), len(words))
+    assert (0, length, shortest) in rows
+    for start, length, period in rows:
+        assert words[start : start + length - period] == words[start + period : start + length]
+
+
+def test_repeats_far_apart_are_no_runs():
+    passage = sentence("far", 60).split()
+    words = passage + sentence("between", 500).split() + passage
+    assert listed(runs.runs_of(words)) == [] == by_hand(words)
+    assert list(runs._pieces(words, 0, len(words))) == []
+
+
+def test_kept_words():
+    words = [*b"x a b a b a b a b a b a b y".split()]
+    found = runs.runs_of(words)
+    assert listed(found) == [(1, 12, 2)]
+    assert runs._kept(words, found) == b"x a b y".split()
+
+
+def test_columns_with_everything(spark):
+    df = documents(spark, clashing=True)
+    rows = df.select("text", runs.runs(F.col("text")).alias("found")).collect()
+    assert len(rows) == df.count()
+    for text, found in rows:
+        words = (text or "").encode().split()
+        assert found["n_words"] == len(words)
+        if len(words) < 3000:
+            assert [tuple(r) for r in found["runs"]] == by_hand(words)
+    long = next(f for t, f in rows if t == "word " * 3000)
+    assert [tuple(r) for r in long["runs"]] == [(0, 3000, 1)] and long["collapsed"] == "word"
+
+
+def contract(doc_id, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    if doc_id is not None:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = by_hand(words)
+    dropped = {i for s, length, q in found for i in range(s + q, s + length)}
+    digests = (
+        "".join(f"{s},{length},{q}\n" for s, length, q in found).encode(),
+        b" ".join(w for i, w in enumerate(words) if i not in dropped),
+    )
+    start, length, period = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    exponent = 1000 * length // period if found else None
+    return doc_id, len(found), start, length, period, exponent, *(hashlib.sha256(d).hexdigest() for d in digests)
+
+
+def test_query(spark, tmp_path):
+    dice = random.Random(11)
+    data = [(1, None, "en", "a", 1), (2, "", None, None, 0), (None, "a " * 20, None, None, 0), (3, "b " * 40, "en", "a", 1)]
+    data += [(3, "b " * 40, "en", "a", 1)]
+    for i in range(4, 150):
+        words = sentence(("op11", i), dice.randint(0, 90)).split()
+        if i % 3 == 0 and words:
+            at = dice.randrange(len(words))
+            words[at:at] = words[at : at + dice.randint(1, 7)] * dice.randint(1, 9)
+        data.append((i, dice.choice([" ", "\n", "\u3000 "]).join(words), "en", "a", 1))
+    path = str(tmp_path / "sf")
+    documents(spark, data, clashing=True).write.parquet(f"{path}/documents.parquet")
+    found = op11_runs(spark, path)
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(found.collect()) == order(contract(d, t) for d, t, *_ in data)
+    assert found.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    documents(spark, []).write.parquet(f"{path}/none/documents.parquet")
+    assert op11_runs(spark, f"{path}/none").collect() == []
