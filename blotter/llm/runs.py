@@ -132,11 +132,10 @@ def _all_runs(words: list[int]) -> np.ndarray:
     size = len(words)
     ahead = SuffixTree(words)
     back = SuffixTree(words[::-1])
-    candidates = []
-    for falling in (False, True):
-        smaller = _next_smaller(ahead.ranks(falling))
-        candidates.append(np.stack([np.arange(size), smaller], axis=1))
-    i, j = np.unique(np.concatenate(candidates), axis=0).T
+    places = np.arange(size)
+    rising, falling = (_next_smaller(ahead.ranks(f)) for f in (False, True))
+    other = rising != falling
+    i, j = np.concatenate([places, places[other]]), np.concatenate([rising, falling[other]])
     # The last place can have no word beside it; its suffix is only the end itself.
     right = np.zeros(len(i), dtype=np.int64)
     inside = j < size
@@ -174,17 +173,11 @@ class SuffixTree:
     def _grow(self) -> None:
         """Ukkonen: one word after the other, at most one new leaf per open suffix."""
         words, size = self.words, len(self.words)
-        # Node 0 is the root; the edge into a node has the words from begin to end.
-        begin, end, link, below = [], [], [], []
-
-        def added(first: int, after: int) -> int:
-            begin.append(first)
-            end.append(after)
-            link.append(0)
-            below.append({})
-            return len(begin) - 1
-
-        added(0, 0)
+        # Node 0 is the root; the edge into a node has the words from begin to end. Leaves have
+        # nothing below. There are at most twice as many nodes as words.
+        begin, end, link = [0] * (2 * size), [size] * (2 * size), [0] * (2 * size)
+        below: list[dict | None] = [None] * (2 * size)
+        end[0], below[0], nodes = 0, {}, 1
         node, edge, length, missing = 0, 0, 0, 0
         for place, word in enumerate(words):
             missing += 1
@@ -194,7 +187,9 @@ class SuffixTree:
                     edge = place
                 child = below[node].get(words[edge])
                 if child is None:
-                    below[node][words[edge]] = added(place, size)
+                    below[node][words[edge]] = nodes
+                    begin[nodes] = place
+                    nodes += 1
                     if last:
                         link[last] = node
                         last = 0
@@ -209,9 +204,12 @@ class SuffixTree:
                             link[last] = node
                         break
                     # Split the edge, and hang a new leaf on the new node.
-                    middle = below[node][words[edge]] = added(begin[child], begin[child] + length)
+                    middle = below[node][words[edge]] = nodes
+                    begin[middle], end[middle] = begin[child], begin[child] + length
                     begin[child] += length
-                    below[middle] = {words[begin[child]]: child, word: added(place, size)}
+                    below[middle] = {words[begin[child]]: child, word: middle + 1}
+                    begin[middle + 1] = place
+                    nodes += 2
                     if last:
                         link[last] = middle
                     last = middle
@@ -226,27 +224,24 @@ class SuffixTree:
     def _tour(self) -> None:
         """The Euler tour as string depths, and where each suffix stands on it."""
         size, begin, end, below = len(self.words), self.begin, self.end, self.below
-        tour: list[int] = [0]
-        seen = [0] * size
-        stack = [(0, iter(sorted(below[0])))]
-        depths = [0]
-        while stack:
-            node, rest = stack[-1]
-            first = next(rest, None)
-            if first is None:
-                stack.pop(), depths.pop()
-                if stack:
-                    tour.append(depths[-1])
-                continue
-            child = below[node][first]
-            depth = depths[-1] + end[child] - begin[child]
-            if below[child]:
-                stack.append((child, iter(sorted(below[child]))))
-                depths.append(depth)
-                tour.append(depth)
+        tour, seen = [0], [0] * size
+        # The inner nodes on the way down: the children yet to be visited, and the depth.
+        way = [(_in_order(below[0], False), 0)]
+        while way:
+            rest, depth = way[-1]
+            for child in rest:
+                deeper = depth + end[child] - begin[child]
+                if below[child] is None:
+                    seen[size - deeper] = len(tour)
+                    tour += (deeper, depth)
+                else:
+                    tour.append(deeper)
+                    way.append((_in_order(below[child], False), deeper))
+                    break
             else:
-                seen[size - depth] = len(tour)
-                tour += [depth, depths[-1]]
+                way.pop()
+                if way:
+                    tour.append(way[-1][1])
         self.seen = np.array(seen, dtype=np.int64)
         self._index(np.array(tour, dtype=np.int32))
 
@@ -287,22 +282,31 @@ class SuffixTree:
         return least.astype(np.int64)
 
     def ranks(self, falling: bool) -> np.ndarray:
-        """The rank of each suffix but the mark; words compare the other way round if ``falling``."""
+        """Numbers that order the suffixes but the mark; words compare the other way round if ``falling``."""
+        if not falling:
+            return self.seen[:-1]  # the tour visits them in this order
         begin, end, below = self.begin, self.end, self.below
         size = len(self.words)
+        places = []
+        way = [(_in_order(below[0], True), 0)]
+        while way:
+            rest, depth = way[-1]
+            for child in rest:
+                deeper = depth + end[child] - begin[child]
+                if below[child] is not None:
+                    way.append((_in_order(below[child], True), deeper))
+                    break
+                places.append(size - deeper)
+            else:
+                way.pop()
         ranks = np.empty(size, dtype=np.int64)
-        rank, stack = 0, [(0, 0)]
-        while stack:
-            node, depth = stack.pop()
-            if not below[node]:
-                ranks[size - depth] = rank
-                rank += 1
-                continue
-            # The last one pushed comes first: the mark, then the words in order.
-            order = sorted(below[node], reverse=not falling)
-            if falling and order[0] < 0:
-                order = [*order[1:], -1]
-            for first in order:
-                child = below[node][first]
-                stack.append((child, depth + end[child] - begin[child]))
+        ranks[places] = np.arange(size)
         return ranks[:-1]
+
+
+def _in_order(children: dict, falling: bool) -> Iterator:
+    """The mark first, then the words in their order."""
+    order = sorted(children, reverse=falling)
+    if falling and order[-1] < 0:
+        order.insert(0, order.pop())
+    return map(children.__getitem__, order)
