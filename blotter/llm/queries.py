@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import bpe, chat, chunks, langid, maxscore, mixing, packing, pages, personal, quality, runs, simhash
+from blotter.llm import bpe, chat, chunks, langid, maxscore, mixing, packing, pages, personal, quality, runs, simhash, whitening
 from blotter.llm.sql import ORACLE
 from blotter.llm.words import word_count, words
+from blotter.sources import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +115,26 @@ def _with_periods(doc_id: Column, text: Column) -> Column:
     return F.when((crc % 10 == 0) & (count > 0), F.array_join(changed, " ")).otherwise(text)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    offset = 1_000_000
+    table = whitening.integer_vectors(_table(spark, sf_dir, "embeddings"), 64, offset)
+    vectors = stored(table, "whiten-vectors")
+    by = whitening.fit(vectors, components=32, missing=offset)
+    explained = F.array(*map(F.lit, by.explained)).cast("array<double>")
+    rows = whitening.whitened(vectors, by).select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")
+    )
+    return rows.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(by.n).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(whitening.identity_error(vectors, by)).alias("identity_error"),
+    )
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     encoded = _table(spark, sf_dir, "documents").select(
@@ -140,6 +161,7 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_personal_data": op10_personal_data,
     "op11_runs": op11_runs,
+    "op12_whitening": op12_whitening,
     "op13_bpe": op13_bpe,
 }
 
