@@ -18,12 +18,14 @@ from __future__ import annotations
 
 import json
 import re
+import string
 from array import array
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,12 +38,12 @@ WORD = regex.compile(
 #: A word begins at every blank before something else, whatever stands before the blank, so the
 #: stretches from one such blank to the next can be encoded apart.
 SEAM = re.compile(r" (?=\S)")
+#: Marks that never begin a word of letters; an apostrophe may.
+MARKS = string.punctuation.replace("'", "")
 #: Code points that are cut at a time.
 STRIDE = 1 << 20
 #: Stretches and words remembered by a task, and the longest of them.
 KNOWN, KNOWN_LENGTH = 1 << 19, 64
-#: Bits of a symbol in a pair, more than any vocabulary needs.
-SYMBOL = 32
 
 
 def encode(text: Column, vocabulary: str) -> Column:
@@ -66,7 +68,10 @@ def decode(ids: Column, vocabulary: str) -> Column:
     def text(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = Bpe(vocabulary)
         for batch in lists:
-            yield pa.array([None if row is None else bpe.decode(row) for row in batch.to_pylist()], pa.string())
+            values = batch.values.fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = batch.offsets.to_numpy()
+            found = [bpe.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            yield pc.if_else(batch.is_null(), None, pa.array(found, pa.string()))
 
     return text(ids)
 
@@ -83,13 +88,21 @@ class Bpe:
         vocab = said["model"]["vocab"]
         self.first = [vocab[letter] for letter in alphabet]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in said["model"]["merges"]]
-        #: By rank: the two symbols as one number, and what they become.
-        self.pairs = [vocab[left] << SYMBOL | vocab[right] for left, right in pairs]
+        #: What the two symbols of a merge become, by rank.
         self.become = [vocab[left + right] for left, right in pairs]
-        self.rank = {pair: rank for rank, pair in enumerate(self.pairs)}
-        self.bytes_of = {i: bytes([byte_of[letter] for letter in token]) for token, i in vocab.items()}
+        #: By left symbol, then right symbol, the rank of their merge; the same for two bytes.
+        self.rank: list[dict[int, int]] = [{}] * (1 + max(vocab.values()))
+        for rank, (left, right) in enumerate(pairs):
+            row = self.rank[vocab[left]] or {}
+            row[vocab[right]] = rank
+            self.rank[vocab[left]] = row
+        self.first_rank = [list(map(self.rank[left].get, self.first)) for left in self.first]
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
-        self.bytes_of |= {i: token.encode() for token, i in self.special.items()}
+        self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
+        for token, i in vocab.items():
+            self.bytes_of[i] = bytes([byte_of[letter] for letter in token])
+        for token, i in self.special.items():
+            self.bytes_of[i] = token.encode()
         # Of special tokens that begin at one place the longest is meant.
         names = sorted(filter(None, self.special), key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -112,45 +125,57 @@ class Bpe:
                 found += map(self.following.__getitem__, rest)
         return b"".join(found)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join([self.bytes_of.get(i, b"") for i in ids]).decode(errors="replace")
+    def decode(self, ids: np.ndarray) -> str:
+        known = ids[(ids >= 0) & (ids < len(self.bytes_of))]
+        return b"".join(map(self.bytes_of.__getitem__, known.tolist())).decode(errors="replace")
 
     def merged(self, word: bytes) -> list[int]:
         """The ids of one word."""
-        symbols = list(map(self.first.__getitem__, word))
-        size = len(symbols)
-        pairs, become, rank_of = self.pairs, self.become, self.rank.get
-        # Links to the neighbours; past either end is a place without a symbol.
-        before, after = list(range(-1, size)), list(range(1, size + 2))
-        symbols.append(-1)
-        # An entry is rank * size + place, so less is sooner.
-        queue = []
-        for place in range(size - 1):
-            rank = rank_of(symbols[place] << SYMBOL | symbols[place + 1])
-            if rank is not None:
-                queue.append(rank * size + place)
+        first, become, rank_of = self.first, self.become, self.rank
+        symbols, size = [first[byte] for byte in word], len(word)
+        # By place, the rank of the pair that begins there.
+        ranks = [self.first_rank[left][right] for left, right in zip(word, word[1:])]
+        # An entry is a rank and a place in one number, so less is sooner.
+        bits = size.bit_length()
+        queue = [rank << bits | place for place, rank in enumerate(ranks) if rank is not None]
+        if not queue:
+            return symbols
         heapify(queue)
+        ranks.append(None)
+        # Links to the neighbours.
+        before, after = list(range(-1, size)), list(range(1, size + 1))
+        mask = (1 << bits) - 1
         while queue:
-            rank, place = divmod(heappop(queue), size)
-            right = after[place]
-            if symbols[place] << SYMBOL | symbols[right] != pairs[rank]:
+            entry = heappop(queue)
+            place, rank = entry & mask, entry >> bits
+            if ranks[place] != rank:
                 continue  # stale: one of the two has been joined to something else
+            right = after[place]
             symbols[place] = new = become[rank]
-            symbols[right] = -1
+            symbols[right] = ranks[right] = None
             after[place] = behind = after[right]
             before[behind] = place
-            if behind < size:
-                rank = rank_of(new << SYMBOL | symbols[behind])
+            followers = rank_of[new]
+            if followers and behind < size:
+                rank = ranks[place] = followers.get(symbols[behind])
                 if rank is not None:
-                    heappush(queue, rank * size + place)
+                    heappush(queue, rank << bits | place)
+            else:
+                ranks[place] = None
             ahead = before[place]
             if ahead >= 0:
-                rank = rank_of(symbols[ahead] << SYMBOL | new)
+                rank = ranks[ahead] = rank_of[symbols[ahead]].get(new)
                 if rank is not None:
-                    heappush(queue, rank * size + ahead)
-        return [symbol for symbol in symbols if symbol >= 0]
+                    heappush(queue, rank << bits | ahead)
+        return [symbol for symbol in symbols if symbol is not None]
 
     def _stretch(self, text: str) -> bytes:
+        if text.isascii():
+            # A blank, letters, marks: a word of letters, and one of all marks that follow.
+            core = text.rstrip(MARKS)
+            if core[1:].isalpha() and (core[0] == " " or core[0].isalpha()):
+                ids = self.words[core]
+                return ids if len(core) == len(text) else ids + self.words[text[len(core) :]]
         return b"".join(map(self.words.__getitem__, WORD.findall(text)))
 
     def _parts(self, text: str) -> Iterator[str]:
