@@ -101,6 +101,28 @@ def etl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def etl_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts with lines that do not fit their header; the rows, and those lines as they stand."""
+    broken = tables.broken_lines(spark, sf_dir).withColumnRenamed("line", "o_orderkey,o_custkey,note")
+    paths = [sources.scratch_path(spark, name) for name in ("lines-old", "lines-new", "lines-csv", "lines-parquet")]
+    for newer, path in zip((False, True), paths):
+        broken.where(F.col("newer") == newer).drop("newer").write.options(**sources.WHOLE_LINES).csv(path)
+    set_aside = sources.scratch_path(spark, "lines-malformed")
+    rows = sources.build_incidents(
+        spark, *paths, types={"o_orderkey": "bigint", "o_custkey": "bigint"}, renames={}, date=None,
+        malformed_path=set_aside, verify=True,
+    )
+    lines = sources.read_parquet(spark, set_aside).select("reason", "line")
+    return rows.unionByName(lines, allowMissingColumns=True)
+
+
+def etl_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both copies of a table that was built from two extracts, read back and compared by year."""
+    paths = _incident_extracts(spark, sf_dir)
+    sources.build_incidents(spark, *paths, verify=True)
+    return sources.compare_copies(spark, *paths[2:])
+
+
 def csv_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blanks, empty strings, nulls, quotes, backslashes and line breaks, there and back."""
     odd = tables.odd_texts(spark, sf_dir)
@@ -290,16 +312,8 @@ def _q3_sql(lowest: bool = True, strategy: str | None = None) -> Query:
 
 def q3_lowest_income_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over a table that was built from two raw extracts and is partitioned by year."""
-    raw = tables.incidents(spark, sf_dir)
-    newer = fn.text_year(F.col("DATE OCC")) >= "1999"
-    paths = [
-        sources.scratch_path(spark, name)
-        for name in ("incidents-old", "incidents-new", "incidents-csv", "incidents-parquet")
-    ]
-    sources.write_csv(raw.where(~newer).withColumnRenamed("AREA", "AREA "), paths[0])
-    sources.write_csv(raw.where(newer), paths[1])
     return plans.victims_by_income(
-        sources.build_incidents(spark, *paths),
+        sources.build_incidents(spark, *_incident_extracts(spark, sf_dir)),
         tables.geocode(spark, sf_dir),
         tables.incomes(spark, sf_dir),
         year=TEST_YEAR,
@@ -383,6 +397,19 @@ def _narrow(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _incident_extracts(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Two raw extracts of incidents, and where their copies go."""
+    raw = tables.incidents(spark, sf_dir)
+    newer = fn.text_year(F.col("DATE OCC")) >= "1999"
+    paths = [
+        sources.scratch_path(spark, name)
+        for name in ("incidents-old", "incidents-new", "incidents-csv", "incidents-parquet")
+    ]
+    sources.write_csv(raw.where(~newer).withColumnRenamed("AREA", "AREA "), paths[0])
+    sources.write_csv(raw.where(newer), paths[1])
+    return paths
+
+
 def _through_csv(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Written as a directory of CSV parts and scanned as text."""
     path = sources.scratch_path(spark, "incidents-csv")
@@ -396,6 +423,8 @@ def queries() -> dict[str, Query]:
         "etl_union_renamed": etl_union_renamed,
         "etl_csv_to_parquet": etl_csv_to_parquet,
         "etl_rejects": etl_rejects,
+        "etl_malformed": etl_malformed,
+        "etl_verify": etl_verify,
         "csv_lossless": csv_lossless,
         "csv_roundtrip": csv_roundtrip,
         "csv_untyped_scan": csv_untyped_scan,

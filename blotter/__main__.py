@@ -33,7 +33,9 @@ def arguments() -> ArgumentParser:
     combine = commands.add_parser("combine", help="combine two raw CSV extracts")
     for name in ("--old", "--new", "--csv", "--parquet"):
         combine.add_argument(name, required=True)
-    combine.add_argument("--strict", action="store_true", help="text that fits no type is an error")
+    combine.add_argument("--malformed", help="where lines go that do not fit their header")
+    combine.add_argument("--strict", action="store_true", help="such lines, and text that fits no type, are errors")
+    combine.add_argument("--verify", action=BooleanOptionalAction, default=True, help="read both copies back")
     combine.add_argument("--mode", choices=["error", "overwrite", "resume"], default="error")
 
     months = commands.add_parser("months", help="months with the most incidents per year")
@@ -70,8 +72,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame:
 def _report(spark: SparkSession, args: Namespace) -> DataFrame:
     if args.command == "combine":
         return sources.build_incidents(
-            spark, args.old, args.new, args.csv, args.parquet, strict=args.strict, mode=args.mode
-        )
+            spark, args.old, args.new, args.csv, args.parquet, strict=args.strict, mode=args.mode,
+            malformed_path=args.malformed, verify=args.verify,
+        )
 
     incidents = _incidents(spark, args)
     if args.command == "months":
@@ -122,6 +125,9 @@ def main() -> None:
     if args.command == "combine":
         print("Values that did not fit their type, by column")
         sources.count_rejects(spark, args.parquet).show(SHOWN, truncate=False)
+        print("Lines that did not fit their header, by file")
+        lines = sources.read_parquet(spark, args.malformed or f"{args.parquet.rstrip('/')}-malformed")
+        lines.groupBy("file", "reason").count().show(SHOWN, truncate=False)
     sources.drop_scratch(spark)
     spark.stop()
 

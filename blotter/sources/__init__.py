@@ -1,20 +1,38 @@
 """Readers, writers and the flow that combines raw extracts."""
 
-from blotter.sources.extracts import build_incidents, combine, count_rejects, rejects
+from blotter.sources.copies import CopyMismatch, compare_digests, digest
+from blotter.sources.extracts import (
+    build_incidents,
+    combine,
+    compare_copies,
+    count_rejects,
+    rejects,
+    verify_copies,
+)
+from blotter.sources.lines import WHOLE_LINES, fitting, malformed, read_lines
 from blotter.sources.scratch import drop_scratch, scratch_path, stored, stored_and_measured
 from blotter.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 
 __all__ = [
+    "CopyMismatch",
+    "WHOLE_LINES",
     "build_incidents",
     "combine",
+    "compare_copies",
+    "compare_digests",
     "count_rejects",
+    "digest",
     "drop_scratch",
+    "fitting",
+    "malformed",
     "read_csv",
+    "read_lines",
     "read_parquet",
     "rejects",
     "scratch_path",
     "stored",
     "stored_and_measured",
+    "verify_copies",
     "write_csv",
     "write_parquet",
 ]

@@ -186,6 +186,27 @@ SQL = {
                CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' ELSE '' END
         FROM typed WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0
     """,
+    "etl_malformed": """
+        WITH lines AS (
+            SELECT o_orderkey, o_custkey, o_orderkey || ',' || o_custkey AS start,
+                   'day ' || (o_orderkey % 5) || ', sent' AS note,
+                   CASE WHEN o_orderkey % 17 = 0 THEN 'short' WHEN o_orderkey % 19 = 0 THEN 'long'
+                        WHEN o_orderkey % 23 = 0 THEN 'open' END AS fault
+            FROM orders
+        )
+        SELECT o_orderkey, o_custkey, note, NULL::VARCHAR AS reason, NULL::VARCHAR AS line
+        FROM lines WHERE fault IS NULL
+        UNION ALL
+        SELECT NULL, NULL, NULL, CASE fault WHEN 'open' THEN 'odd number of quotes' ELSE 'not 3 fields' END,
+               start || CASE fault WHEN 'short' THEN '' WHEN 'long' THEN ',"' || note || '", more ' ELSE ',"open' END
+        FROM lines WHERE fault IS NOT NULL
+    """,
+    "etl_verify": f"""
+        WITH {INCIDENTS}
+        SELECT substring("DATE OCC", 7, 4)::INTEGER AS occ_year, count(*) AS parquet_rows,
+               count(*) AS csv_rows, true AS matches
+        FROM incidents GROUP BY 1
+    """,
     "date_parts_text": f"""
         WITH {ORDER_INCIDENTS}
         SELECT "DATE OCC" AS date_text, substring("DATE OCC", 7, 4) AS year,

@@ -76,6 +76,21 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line``: orders as CSV lines, some with a field too few or too many or a quote left open;
+    ``newer`` splits them into two extracts."""
+    key = F.col("o_orderkey")
+    start = F.concat_ws(",", key.cast("string"), F.col("o_custkey").cast("string"))
+    whole = F.concat(start, F.lit(',"day '), (key % 5).cast("string"), F.lit(', sent"'))
+    line = (
+        F.when(key % 17 == 0, start)
+        .when(key % 19 == 0, F.concat(whole, F.lit(", more ")))
+        .when(key % 23 == 0, F.concat(start, F.lit(',"open')))
+        .otherwise(whole)
+    )
+    return table(spark, sf_dir, "orders").select(line.alias("line"), (key % 2 == 0).alias("newer"))
+
+
 def odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names with everything that CSV may lose."""
     key = F.col("p_partkey")
