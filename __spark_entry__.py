@@ -16,6 +16,7 @@ if str(ROOT) not in sys.path:
 from blotter import plans, sources  # noqa: E402
 from blotter import functions as fn  # noqa: E402
 from blotter.operators import (  # noqa: E402
+    copartition,
     equi_join,
     min_per_key,
     pair_join,
@@ -346,7 +347,7 @@ def q4_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q4_join_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return equi_join(*_narrow(spark, sf_dir), AREA_OF_STATION, "repartition")
+    return equi_join(*_narrow(spark, sf_dir), AREA_OF_STATION, "repartition", partitions=8)
 
 
 def q4_join_copartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,6 +369,20 @@ def q4_join_copartitioned_4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q4_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over tables that are stored in four buckets by the key."""
+    return copartition(*_narrow(spark, sf_dir), AREA_OF_STATION, partitions=4).join()
+
+
+def q4_verify_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys for which a join variant has other rows than the plain join: none."""
+    return q4_verify_digests(spark, sf_dir).where(~F.col("matches")).drop("matches")
+
+
+def q4_verify_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.compare_join_rows(*_narrow(spark, sf_dir), partitions=4)
+
+
 def q4_verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.compare_joins(
         tables.incidents(spark, sf_dir), tables.stations(spark, sf_dir), TEST_YEAR
@@ -470,7 +485,10 @@ def queries() -> dict[str, Query]:
         "q4_join_repartition": q4_join_repartition,
         "q4_join_copartitioned": q4_join_copartitioned,
         "q4_join_copartitioned_4": q4_join_copartitioned_4,
+        "q4_join_bucketed": q4_join_bucketed,
         "q4_verify_counts": q4_verify_counts,
+        "q4_verify_rows": q4_verify_rows,
+        "q4_verify_digests": q4_verify_digests,
         "row_merge": row_merge,
         **LLM_QUERIES,
     }

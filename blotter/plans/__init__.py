@@ -1,13 +1,21 @@
 """The four reports."""
 
-from blotter.plans.distances import compare_joins, counts_by_division, distance_by_division
+from blotter.plans.distances import (
+    compare_join_rows,
+    compare_joins,
+    compare_rows,
+    counts_by_division,
+    distance_by_division,
+)
 from blotter.plans.months import top_months, top_months_sql
 from blotter.plans.segments import busiest_segments, street_segments, street_segments_sql
 from blotter.plans.victims import victims_by_income, victims_by_income_sql, victims_by_zip
 
 __all__ = [
     "busiest_segments",
+    "compare_join_rows",
     "compare_joins",
+    "compare_rows",
     "counts_by_division",
     "distance_by_division",
     "street_segments",

@@ -10,7 +10,13 @@ from blotter.sources.extracts import (
     verify_copies,
 )
 from blotter.sources.lines import WHOLE_LINES, fitting, malformed, read_lines
-from blotter.sources.scratch import drop_scratch, scratch_path, stored, stored_and_measured
+from blotter.sources.scratch import (
+    drop_scratch,
+    scratch_path,
+    stored,
+    stored_and_measured,
+    stored_in_buckets,
+)
 from blotter.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 
 __all__ = [
@@ -32,6 +38,7 @@ __all__ = [
     "scratch_path",
     "stored",
     "stored_and_measured",
+    "stored_in_buckets",
     "verify_copies",
     "write_csv",
     "write_parquet",

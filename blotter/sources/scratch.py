@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,6 +12,8 @@ from blotter.sources.tables import read_parquet, write_parquet
 
 #: Paths given out since the last :func:`drop_scratch`.
 _given: list[str] = []
+#: Tables in the catalog over such paths.
+_named: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -45,8 +48,25 @@ def stored_and_measured(df: DataFrame, name: str, measure: Column) -> tuple[Data
     return table, seen.get["measure"] or 0
 
 
+def stored_in_buckets(df: DataFrame, name: str, buckets: int, by: Sequence[str]) -> DataFrame:
+    """Like :func:`stored`, in ``buckets`` buckets by the hash of some columns, sorted by them.
+
+    One file per bucket, so a bucket is read by one task and in order. The session's catalog knows
+    the table, as files alone do not tell how they are bucketed.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"blotter_{uuid4().hex}"
+    dealt = df.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by)
+    dealt.option("path", path).saveAsTable(table, format="parquet")
+    _named.append(table)
+    return spark.table(table)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the tables stored so far. Results that read them must have been used up."""
+    while _named:
+        spark.sql(f"DROP TABLE IF EXISTS {_named.pop()}")
     while _given:
         _file_system_call(spark, _given.pop(), lambda fs, path: fs.delete(path, True))
 

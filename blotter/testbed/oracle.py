@@ -150,6 +150,14 @@ _COUNTS = f"""
     FROM incidents JOIN stations ON "AREA" = "PREC" WHERE {IN_TEST_YEAR} GROUP BY "DIVISION"
 """
 
+_DIGESTS = f"""
+    WITH {INCIDENTS}, {STATIONS}
+    SELECT variant, "AREA" AS key, count(*) AS expected_rows, count(*) AS found_rows, true AS matches
+    FROM incidents JOIN stations ON "AREA" = "PREC",
+         (VALUES ('broadcast'), ('repartition'), ('copartitioned'), ('bucketed')) AS variants(variant)
+    GROUP BY variant, "AREA"
+"""
+
 _LOWEST, _HIGHEST = _victims("ASC"), _victims("DESC")
 
 SQL = {
@@ -294,6 +302,9 @@ SQL = {
     "q4_join_copartitioned_4": _joined(
         '"AREA" AS key, "DR_NO" AS left_dr_no, "DIVISION" AS right_division'
     ),
+    "q4_join_bucketed": _joined('"DR_NO", "DATE OCC", "AREA", "DIVISION", "PREC"'),
+    "q4_verify_rows": f"SELECT * EXCLUDE (matches) FROM ({_DIGESTS}) WHERE NOT matches",
+    "q4_verify_digests": _DIGESTS,
     "q4_verify_counts": f"WITH {INCIDENTS}, {STATIONS}"
     + " UNION ALL ".join(
         _COUNTS.format(variant)

@@ -36,6 +36,9 @@ def ordered(rows):
     return sorted(rows, key=lambda row: [(value is not None, str(value)) for value in row])
 
 
+#: Lists what is wrong; test_copartition.py has wrong rows for it.
+WITHOUT_ROWS = {"q4_verify_rows"}
+
 #: The training-data queries have tests of their own.
 OWN = contract.queries().keys() - contract.LLM_QUERIES.keys()
 
@@ -52,7 +55,7 @@ def test_matches_sql(spark, scale, key):
     places = [oracle.columns.index(name) for name in columns]
     expected = ordered(tuple(row[i] for i in places) for row in oracle.fetchall())
 
-    assert expected, "a query without rows checks nothing"
+    assert expected or key in WITHOUT_ROWS, "a query without rows checks nothing"
     assert len(got) == len(expected)
     for left, right in zip(got, expected):
         assert all(map(same, left, right)), (left, right)
