@@ -124,6 +124,33 @@ def etl_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.compare_copies(spark, *paths[2:])
 
 
+def etl_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of two older extracts, and a newer one merged into it."""
+    older, newer = tables.order_reports(spark, sf_dir)
+    paths = [
+        sources.scratch_path(spark, name)
+        for name in ("reports-old", "reports-new", "reports-csv", "reports-parquet", "reports-newer")
+    ]
+    even = F.col("DR_NO") % 2 == 0
+    for df, path in ((older.where(even), paths[0]), (older.where(~even), paths[1]), (newer, paths[4])):
+        sources.write_csv(df, path)
+    types = {"DR_NO": "bigint", "AREA": "int", "version": "int"}
+    sources.build_incidents(spark, *paths[:4], types=types)
+    return sources.merge_extract(spark, paths[3], paths[4], newest=["version"], types=types)
+
+
+def etl_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.reconcile(tables.drifted_orders(spark, sf_dir), {"o_orderkey ": "o_orderkey"})
+
+
+def csv_type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types of a CSV table, from the profiles of its two halves."""
+    texts = tables.texts_of_orders(spark, sf_dir)
+    half = F.col("whole").cast("bigint") % 2 == 0
+    parts = (_through_csv(spark, texts.where(part)) for part in (half, ~half))
+    return sources.profiled_types(sources.merge_profiles(*map(sources.type_profile, parts)))
+
+
 def csv_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blanks, empty strings, nulls, quotes, backslashes and line breaks, there and back."""
     odd = tables.odd_texts(spark, sf_dir)
@@ -228,6 +255,18 @@ def q1_top_months_sql_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.top_months_sql(_through_csv(spark, tables.order_incidents(spark, sf_dir)))
 
 
+def months_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of an older extract, stored, and of a newer one merged into them."""
+    orders = tables.order_incidents(spark, sf_dir)
+    newer = F.col("DATE OCC").substr(4, 2) > "20"
+    paths = [sources.scratch_path(spark, name) for name in ("months-before", "months-now")]
+    plans.maintain(spark, paths[0], plans.month_counts(orders.where(~newer)), plans.merge_counts)
+    counts = plans.maintain(
+        spark, paths[1], plans.month_counts(orders.where(newer)), plans.merge_counts, before=paths[0]
+    )
+    return plans.top_months_of(counts)
+
+
 # Incidents on the street by time of day
 
 
@@ -267,6 +306,18 @@ def lookup_min_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.withColumnsRenamed({"LAT": "lat", "LON": "lon"})
 
 
+def lookup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup of older points, stored, and of newer ones merged into it."""
+    geocode = tables.geocode(spark, sf_dir)
+    newer = F.col("ZIPcode").contains("-")
+    paths = [sources.scratch_path(spark, name) for name in ("lookup-before", "lookup-now")]
+    plans.maintain(spark, paths[0], plans.zip_lookup(geocode.where(~newer)), plans.merge_lookups)
+    lookup = plans.maintain(
+        spark, paths[1], plans.zip_lookup(geocode.where(newer)), plans.merge_lookups, before=paths[0]
+    )
+    return lookup.withColumnsRenamed({"LAT": "lat", "LON": "lon"})
+
+
 def semi_join_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     victims = plans.victims_by_zip(
         tables.incidents(spark, sf_dir), tables.geocode(spark, sf_dir), TEST_YEAR
@@ -440,6 +491,9 @@ def queries() -> dict[str, Query]:
         "etl_rejects": etl_rejects,
         "etl_malformed": etl_malformed,
         "etl_verify": etl_verify,
+        "etl_incremental": etl_incremental,
+        "etl_schema_drift": etl_schema_drift,
+        "csv_type_profile": csv_type_profile,
         "csv_lossless": csv_lossless,
         "csv_roundtrip": csv_roundtrip,
         "csv_untyped_scan": csv_untyped_scan,
@@ -454,6 +508,7 @@ def queries() -> dict[str, Query]:
         "q1_top_months_sql": q1_top_months_sql,
         "q1_top_months_df_csv": q1_top_months_df_csv,
         "q1_top_months_sql_csv": q1_top_months_sql_csv,
+        "months_incremental": months_incremental,
         "q2_segments_sql": q2_segments_sql,
         "q2_segments_df": q2_segments_df,
         "q2_segments_bounded": q2_segments_bounded,
@@ -461,6 +516,7 @@ def queries() -> dict[str, Query]:
         "q2_top3_segments": q2_top3_segments,
         "q2_top5_segments": q2_top5_segments,
         "lookup_min_per_key": lookup_min_per_key,
+        "lookup_incremental": lookup_incremental,
         "semi_join_zip": semi_join_zip,
         "topk_low": topk_low,
         "topk_high": topk_high,

@@ -17,6 +17,11 @@ def top_months(incidents: DataFrame, n: int = TOP) -> DataFrame:
     monthly = incidents.groupBy(
         text_year(date).alias("Year"), text_month(date).alias("Month")
     ).agg(F.count("*").alias("crime_total"))
+    return busiest_months(monthly, n)
+
+
+def busiest_months(monthly: DataFrame, n: int = TOP) -> DataFrame:
+    """The report from the counts: Year, Month, crime_total."""
     ranked = top_n_per_group(monthly, ["Year"], [F.desc("crime_total")], n)
     return ranked.orderBy("Year", "rank", "Month")
 

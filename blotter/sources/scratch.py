@@ -68,7 +68,12 @@ def drop_scratch(spark: SparkSession) -> None:
     while _named:
         spark.sql(f"DROP TABLE IF EXISTS {_named.pop()}")
     while _given:
-        _file_system_call(spark, _given.pop(), lambda fs, path: fs.delete(path, True))
+        delete(spark, _given.pop())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all below it, if it is there."""
+    _file_system_call(spark, path, lambda fs, at: fs.delete(at, True))
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -158,6 +158,40 @@ _DIGESTS = f"""
     GROUP BY variant, "AREA"
 """
 
+PROFILED = ("whole", "price", "mixed", "date", "jumble", "text", "nothing")
+
+PROFILE = """
+    WITH texts AS (
+        SELECT o_orderkey::VARCHAR AS whole,
+               CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' WHEN o_orderkey % 13 = 0 THEN NULL
+                    ELSE (o_orderkey * 3) || '.25' END AS price,
+               CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey * 3) || '.25' ELSE o_orderkey::VARCHAR END AS mixed,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date,
+               CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+                    WHEN 1 THEN o_custkey::VARCHAR ELSE '' END AS jumble,
+               o_orderpriority AS text, NULL::VARCHAR AS nothing
+        FROM orders
+    ), listed AS ({listed}), typed AS (
+        SELECT "column", value, CASE WHEN value SIMILAR TO '[0-9]+' THEN value::BIGINT END AS l,
+               CASE WHEN value SIMILAR TO '[0-9]+([.][0-9]+)?' THEN value::DOUBLE END AS d,
+               TRY_CAST(CASE WHEN value LIKE '____-__-__ %' THEN value END AS TIMESTAMP) AS t
+        FROM listed
+    ), counted AS (
+        SELECT "column", count(*) AS rows, count(*) - count(value) AS nulls, count(l) AS longs, count(d) AS doubles,
+               count(t) AS timestamps, min(l) AS least_long, min(d) AS least_double, min(t) AS first,
+               min(length(value))::INTEGER AS shortest, max(l) AS most_long, max(d) AS most_double, max(t) AS last,
+               max(length(value))::INTEGER AS longest, count(value) AS n, greatest(count(d), count(t)) AS most
+        FROM typed GROUP BY "column"
+    )
+    SELECT * EXCLUDE (n, most),
+           CASE WHEN n = 0 THEN 'string' WHEN longs = n THEN 'bigint' WHEN doubles = n THEN 'double'
+                WHEN timestamps = n THEN 'timestamp_ntz' ELSE 'string' END AS type,
+           CASE WHEN 2 * most <= n THEN 'string' WHEN longs = most THEN 'bigint' WHEN doubles = most THEN 'double'
+                ELSE 'timestamp_ntz' END AS likely,
+           CASE WHEN 2 * most <= n THEN 0 ELSE n - most END AS misfits
+    FROM counted
+""".format(listed=" UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value FROM texts" for c in PROFILED))
+
 _LOWEST, _HIGHEST = _victims("ASC"), _victims("DESC")
 
 SQL = {
@@ -215,6 +249,30 @@ SQL = {
                count(*) AS csv_rows, true AS matches
         FROM incidents GROUP BY 1
     """,
+    "etl_incremental": """
+        WITH reports AS (
+            SELECT o_orderkey AS "DR_NO", o_custkey AS area, o_orderdate < '1999-01-01' AS old,
+                   strftime(o_orderdate, '%m/%d/%Y %I:%M:%S %p') AS date
+            FROM orders
+        ), merged AS (
+            SELECT "DR_NO", CASE WHEN old AND "DR_NO" % 100 = 0 THEN '12/31/1998 12:00:00 AM' ELSE date END AS "DATE OCC",
+                   (CASE WHEN old AND "DR_NO" % 50 = 0 THEN area + 1 ELSE area END)::INTEGER AS "AREA",
+                   CASE WHEN old AND "DR_NO" % 50 = 0 THEN 3 ELSE 1 END AS version
+            FROM reports
+        )
+        SELECT *, substring("DATE OCC", 7, 4)::INTEGER AS occ_year FROM merged
+    """,
+    "etl_schema_drift": """
+        SELECT 'old' AS origin, o_orderkey, o_totalprice, o_custkey::VARCHAR AS o_custkey, o_orderstatus,
+               NULL::VARCHAR AS o_orderpriority
+        FROM orders WHERE o_orderkey % 2 = 0
+        UNION ALL
+        SELECT 'new', o_orderkey, round(o_totalprice), o_custkey::VARCHAR, NULL, o_orderpriority
+        FROM orders WHERE o_orderkey % 2 <> 0
+    """,
+    "csv_type_profile": PROFILE,
+    "months_incremental": _top_months("rank", "Year", "Month"),
+    "lookup_incremental": f'WITH {GEOCODE} SELECT "LAT" AS lat, "LON" AS lon, zip_code FROM lookup',
     "date_parts_text": f"""
         WITH {ORDER_INCIDENTS}
         SELECT "DATE OCC" AS date_text, substring("DATE OCC", 7, 4) AS year,

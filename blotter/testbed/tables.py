@@ -76,6 +76,60 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as numbered reports in an older and a newer extract. The newer one corrects older
+    reports, some twice, and moves some of them to another year."""
+    key, date, start = F.col("o_orderkey"), F.col("o_orderdate"), F.lit(NEWER_FROM).cast("timestamp_ntz")
+    reports = table(spark, sf_dir, "orders").select(
+        key.alias("DR_NO"),
+        F.date_format(date, DATE_FORMAT).alias("DATE OCC"),
+        F.col("o_custkey").alias("AREA"),
+        F.lit(1).alias("version"),
+        (date < start).alias("old"),
+    )
+    older = reports.where("old").drop("old")
+    corrected = older.where(F.col("DR_NO") % 50 == 0).withColumns(
+        {"AREA": F.col("AREA") + 1, "version": F.lit(3)}
+    )
+    moved = F.when(F.col("DR_NO") % 100 == 0, F.lit("12/31/1998 12:00:00 AM")).otherwise(F.col("DATE OCC"))
+    superseded = corrected.where(F.col("DR_NO") % 150 == 0).withColumns({"AREA": F.lit(-1), "version": F.lit(2)})
+    newer = reports.where(~F.col("old")).drop("old").unionByName(corrected.withColumn("DATE OCC", moved))
+    return older, newer.unionByName(superseded)
+
+
+def drifted_orders(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Two extracts of orders: each lacks a column, and a number and a key have other types."""
+    orders = table(spark, sf_dir, "orders")
+    even = F.col("o_orderkey") % 2 == 0
+    return {
+        "old": orders.where(even).select(
+            F.col("o_orderkey").cast("int").alias("o_orderkey "),
+            "o_totalprice",
+            F.col("o_custkey").cast("string").alias("o_custkey"),
+            "o_orderstatus",
+        ),
+        "new": orders.where(~even).select(
+            "o_orderkey", "o_custkey", F.round("o_totalprice").cast("int").alias("o_totalprice"), "o_orderpriority"
+        ),
+    }
+
+
+def texts_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text: numbers, dates, text, and some of each that do not fit."""
+    key = F.col("o_orderkey")
+    price = F.format_string("%d.25", key * 3)
+    date = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return table(spark, sf_dir, "orders").select(
+        key.cast("string").alias("whole"),
+        F.when(key % 11 == 0, "n/a").when(key % 13 == 0, F.lit(None).cast("string")).otherwise(price).alias("price"),
+        F.when(key % 2 == 0, price).otherwise(key.cast("string")).alias("mixed"),
+        date.alias("date"),
+        F.when(key % 3 == 0, date).when(key % 3 == 1, F.col("o_custkey").cast("string")).otherwise("").alias("jumble"),
+        F.col("o_orderpriority").alias("text"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+
+
 def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line``: orders as CSV lines, some with a field too few or too many or a quote left open;
     ``newer`` splits them into two extracts."""
