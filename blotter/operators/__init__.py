@@ -3,6 +3,7 @@
 from blotter.operators.copartition import Copartitioned, copartition
 from blotter.operators.joins import equi_join, fits_broadcast, measured_bytes, pair_join
 from blotter.operators.lookups import min_per_key, semi_join
+from blotter.operators.prefilter import might_match
 from blotter.operators.ranking import top_k, top_n_per_group
 
 __all__ = [
@@ -11,6 +12,7 @@ __all__ = [
     "equi_join",
     "fits_broadcast",
     "measured_bytes",
+    "might_match",
     "min_per_key",
     "pair_join",
     "semi_join",

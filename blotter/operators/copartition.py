@@ -22,6 +22,7 @@ from blotter.operators.joins import (
     _mark_hot,
     _own_piece,
     _side,
+    common_type,
 )
 from blotter.sources import stored, stored_in_buckets
 from blotter.sources.tables import column
@@ -88,7 +89,7 @@ def copartition(
     for df, other, at in ((left, right, 0), (right, left, 1)):
         typed = df
         for name, key in zip(names, keys):
-            kind = _common_type(df, other, key[at], key[1 - at])
+            kind = common_type(df, other, key[at], key[1 - at])
             typed = typed.withColumn(name, column(key[at]).cast(kind))
         sides.append(typed.where(_all_present(names)))
     hot = stored(_hot_keys(*sides, names, names, partitions, hot_rows, hot_pairs), "hot-keys")
@@ -106,13 +107,3 @@ def copartition(
         *tables, tuple(keys), tuple(stored_by), tuple(left.columns), tuple(right.columns), partitions
     )
 
-
-def _common_type(df: DataFrame, other: DataFrame, name: str, other_name: str) -> str:
-    """The type in which Spark compares two columns."""
-
-    def empty(side: DataFrame, key: str) -> DataFrame:
-        return side.select(column(key).alias("k"))
-
-    return empty(df, name).unionAll(empty(other, other_name)).schema["k"].dataType.simpleString()
-
-

@@ -125,6 +125,12 @@ def measured_bytes(df: DataFrame) -> Column:
     return F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))
 
 
+def common_type(df: DataFrame, other: DataFrame, name: str, other_name: str) -> str:
+    """The type in which Spark compares two columns."""
+    both = df.select(column(name).alias("k")).unionAll(other.select(column(other_name).alias("k")))
+    return both.schema["k"].dataType.simpleString()
+
+
 def _join(
     left: DataFrame,
     right: DataFrame,

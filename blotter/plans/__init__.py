@@ -13,11 +13,15 @@ from blotter.plans.maintained import (
     merge_lookups,
     month_counts,
     top_months_of,
-    zip_lookup,
 )
 from blotter.plans.months import top_months, top_months_sql
 from blotter.plans.segments import busiest_segments, street_segments, street_segments_sql
-from blotter.plans.victims import victims_by_income, victims_by_income_sql, victims_by_zip
+from blotter.plans.victims import (
+    victims_by_income,
+    victims_by_income_sql,
+    victims_by_zip,
+    zip_lookup,
+)
 
 __all__ = [
     "busiest_segments",

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.functions import first_token, text_month, text_year
+from blotter.functions import text_month, text_year
 from blotter.operators import min_per_key
 from blotter.plans.months import TOP, busiest_months
 from blotter.sources import read_parquet, write_parquet
@@ -38,12 +38,8 @@ def top_months_of(counts: DataFrame, n: int = TOP) -> DataFrame:
     return busiest_months(counts, n)
 
 
-def zip_lookup(geocode: DataFrame) -> DataFrame:
-    """LAT, LON, zip_code: the least ZIP of each point. It is its own partial result."""
-    return min_per_key(geocode, ["LAT", "LON"], "ZIPcode", "zip_code", clean=first_token)
-
-
 def merge_lookups(*parts: DataFrame) -> DataFrame:
+    """LAT, LON, zip_code from lookups of parts, see ``zip_lookup``: a lookup is its own partial result."""
     return min_per_key(reduce(DataFrame.unionByName, parts), ["LAT", "LON"], "zip_code", "zip_code")
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions import decode, first_token, in_year, parse_money
-from blotter.operators import equi_join, measured_bytes, min_per_key, top_k
+from blotter.operators import equi_join, measured_bytes, might_match, min_per_key, top_k
 from blotter.operators.joins import BROADCAST_LIMIT
-from blotter.sources import stored_and_measured
+from blotter.sources import stored, stored_and_measured
 from blotter.sources.extracts import year_column
 
 # Descent codes and their labels.
@@ -61,6 +61,7 @@ def victims_by_zip(
     geocode: DataFrame,
     year: int = YEAR,
     strategy: str | None = None,
+    prefilter: bool = False,
 ) -> DataFrame:
     """zip, victim_descent, victims; a code without a label is counted under null.
 
@@ -68,15 +69,18 @@ def victims_by_zip(
     has one ZIP, so the counts can be added up afterwards, and a point or label with a
     large part of all incidents is folded in the map tasks instead of being shuffled.
     For ``broadcast`` the lookup is stored and measured at once, by a job that runs while the
-    report is being built.
+    report is being built. ``prefilter`` also stores the lookup, and drops incidents at points that it lacks
+    before they are shuffled; worth it where many points have no ZIP.
     """
     code = F.col("Vict Descent")
-    per_point = (
-        incidents.where(in_year(F.col("DATE OCC"), year, year_column(incidents)) & code.isNotNull())
-        .groupBy("LAT", "LON", decode(code, DESCENTS).alias("victim_descent"))
-        .agg(F.count("*").alias("victims"))
-    )
+    rows = incidents.where(in_year(F.col("DATE OCC"), year, year_column(incidents)) & code.isNotNull())
     lookup, size = zip_lookup(geocode), None
+    if prefilter:
+        lookup = stored(lookup, "zip-lookup")
+        rows = might_match(rows, lookup, ["LAT", "LON"])
+    per_point = rows.groupBy("LAT", "LON", decode(code, DESCENTS).alias("victim_descent")).agg(
+        F.count("*").alias("victims")
+    )
     if strategy == "broadcast":
         lookup, size = stored_and_measured(lookup, "zip-lookup", measured_bytes(lookup))
     return (
@@ -94,6 +98,7 @@ def victims_by_income(
     year: int = YEAR,
     areas: int = AREAS,
     strategy: str | None = None,
+    prefilter: bool = False,
 ) -> DataFrame:
     """victim_descent, victims over the ZIPs with the lowest (highest) income, most first.
 
@@ -102,7 +107,7 @@ def victims_by_income(
     them decide which of them are reported.
     """
     per_zip = (
-        victims_by_zip(incidents, geocode, year, strategy)
+        victims_by_zip(incidents, geocode, year, strategy, prefilter)
         .groupBy("zip")
         .agg(F.collect_list(F.struct("victim_descent", "victims")).alias("counts"))
     )

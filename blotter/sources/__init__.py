@@ -1,5 +1,6 @@
 """Readers, writers and the flow that combines raw extracts."""
 
+from blotter.sources.clusters import write_clustered
 from blotter.sources.copies import CopyMismatch, compare_digests, digest
 from blotter.sources.drift import drift, reconcile
 from blotter.sources.extracts import (
@@ -50,6 +51,7 @@ __all__ = [
     "type_profile",
     "types_of",
     "verify_copies",
+    "write_clustered",
     "write_csv",
     "write_parquet",
 ]

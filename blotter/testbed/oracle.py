@@ -351,6 +351,15 @@ SQL = {
         WHERE "LAT" <> 0 AND "LON" <> 0 AND "Weapon Used Cd" BETWEEN 100 AND 199
         GROUP BY "DIVISION"
     """,
+    "q3_merge_prefiltered": _LOWEST,
+    "q4_clustered": f"""
+        WITH {INCIDENTS}, {STATIONS}
+        SELECT "DIVISION", round(avg({DISTANCE}), 3) AS avg_distance_km,
+               count(*) AS "incidents total"
+        FROM incidents JOIN stations ON "AREA" = "PREC"
+        WHERE "LAT" BETWEEN 33.6 AND 33.8 AND "LON" BETWEEN -118.7 AND -118.55 AND "Weapon Used Cd" BETWEEN 100 AND 199
+        GROUP BY "DIVISION"
+    """,
     "q4_join_broadcast": _joined("*"),
     "q4_join_repartition": _joined('"DR_NO", "DATE OCC", "AREA", "DIVISION", "PREC"'),
     "q4_join_copartitioned": _joined(
