@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 from uuid import uuid4
@@ -19,11 +20,11 @@ _named: list[str] = []
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder set as ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; it gets a temporary folder.
+    Only a session within this process may do without that setting; it gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="blotter-")
     path = f"{base.rstrip('/')}/{name}-{uuid4().hex}"

@@ -1,6 +1,8 @@
 """Every query against the same query as SQL over the raw tables."""
 
 import math
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -65,6 +67,23 @@ def test_every_query_has_sql():
     assert contract.oracle_sql().keys() - contract.LLM_SQL.keys() == OWN
 
 
+@pytest.mark.parametrize("missing", ["blotter.llm", "corpus_pipeline", "public_tokenizers", "xxhash"])
+def test_other_queries_do_without_the_training_data_operators(missing):
+    code = f"""
+import sys, warnings
+warnings.simplefilter("ignore")
+class Without:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r} or name.startswith({missing + "."!r}):
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Without())
+import __spark_entry__ as entry
+assert not entry.LLM_QUERIES and len(entry.queries()) == len(entry.oracle_sql()) == {len(OWN)}
+"""
+    root = Path(contract.__file__).parent
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["DIVISION", "avg_distance_km", "incidents total"]

@@ -199,4 +199,7 @@ def test_scratch_path():
     assert first.startswith("hdfs://shared/orders-") and first != second
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         sources.scratch_path(FakeSession(spark_master="yarn"), "orders")
-    assert "orders-" in sources.scratch_path(FakeSession(spark_master="local[2]"), "orders")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sources.scratch_path(FakeSession(spark_master="local-cluster[2,1,1024]"), "orders")
+    for master in ("local", "local[2]", "local[*, 3]"):
+        assert "orders-" in sources.scratch_path(FakeSession(spark_master=master), "orders")
