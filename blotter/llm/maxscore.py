@@ -7,8 +7,9 @@ a base score, and each term a bound |q| * (largest - smallest). With the k-th be
 far as threshold, the terms with the smallest bounds whose sum cannot lift the base over
 the threshold are non-essential. The essential lists are traversed whole; the others are
 probed, largest bound first and ``PROBED`` at a time, for those vectors only whose score so
-far plus the bounds left still beats the threshold. Vectors are kept in order of their id,
-so among equal scores the first stays.
+far plus the bounds left still beats the threshold. A shard is traversed in stretches, k vectors first and
+each twice as long as the one before; the threshold, and with it the split, is worked out anew for each.
+Vectors are kept in order of their id, so among equal scores the first stays.
 
 Vectors are dealt to shards and queries to blocks, both by hash and of bounded size; a task
 searches one shard for one block, and the best k of each shard are merged per query.
@@ -28,8 +29,6 @@ from blotter.sources import stored
 SCALE = 64
 SHARD = 8192
 BLOCK = 2048
-#: Vectors of a shard that are scored whole to have a threshold to begin with.
-FIRST = 512
 PROBED = 8
 LONG = (1 << 63) - 1
 
@@ -141,21 +140,17 @@ def _best(ids, lists, asked, queries, k) -> tuple[np.ndarray, np.ndarray, np.nda
     )
     kind = np.float32 if reach < 1 << 24 else np.float64 if reach < 1 << 53 else object
     lists, low, high, weights = (x.astype(kind) for x in (lists, low, high, queries))
-    first = min(FIRST, len(ids))
-    opening = weights @ lists[:, :first]
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for i, query_id in enumerate(asked):
         own = int(np.searchsorted(ids, query_id))
         own = own if own < len(ids) and ids[own] == query_id else -1
-        places = np.arange(first)
-        scores = opening[i]
-        if 0 <= own < first:
-            places, scores = np.delete(places, own), np.delete(scores, own)
-        places, scores = _top(places, scores, k)
-        if first < len(ids):
+        places, scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=kind)
+        begin, size = 0, k
+        while begin < len(ids):
             threshold = scores.min() if len(scores) == k else None
-            more, points = _rest(lists, low, high, weights[i], first, own, threshold)
+            more, points = _beating(lists, low, high, weights[i], begin, begin + size, own, threshold)
             places, scores = _top(np.concatenate([places, more]), np.concatenate([scores, points]), k)
+            begin, size = begin + size, 2 * size
         if kind is object:
             scores = np.array([min(max(int(s), -LONG - 1), LONG) for s in scores], dtype=np.int64)
         out.append((np.full(len(places), query_id), ids[places], scores.astype(np.int64)))
@@ -174,8 +169,9 @@ def _top(places: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
     return places[best], scores[best]
 
 
-def _rest(lists, low, high, weight, first, own, threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Places from ``first`` on that beat the threshold, and their scores."""
+def _beating(lists, low, high, weight, begin, end, own, threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a stretch that beat the threshold, and their scores; all of them without a threshold."""
+    stretch = lists[:, begin:end]
     base = (np.where(weight > 0, low, high) * weight).sum()
     bounds = np.abs(weight) * (high - low)
     terms = np.argsort(bounds, kind="stable")
@@ -185,24 +181,22 @@ def _rest(lists, low, high, weight, first, own, threshold) -> tuple[np.ndarray,
     left = sums[free - 1] if free else 0
     # Adding up q * x gives base + impacts once the base of the terms not seen yet is added.
     start = np.where(weight > 0, low, high) * weight
-    part = weight[essential] @ lists[essential, first:] + start[others].sum()
-    places = np.arange(first, lists.shape[1])
-    if own >= first:
-        places, part = np.delete(places, own - first), np.delete(part, own - first)
+    part = weight[essential] @ stretch[essential] + start[others].sum()
+    places = np.arange(stretch.shape[1])
+    if begin <= own < begin + len(places):
+        places, part = np.delete(places, own - begin), np.delete(part, own - begin)
+    whole = len(places) == stretch.shape[1]
     for at in range(0, len(others) + 1, PROBED):
         if threshold is not None:
             alive = part + left > threshold
             if not alive.all():
-                places, part = places[alive], part[alive]
+                places, part, whole = places[alive], part[alive], False
         probed = others[at : at + PROBED]
         if not len(places) or not len(probed):
             break
-        if len(places) == lists.shape[1] - first:
-            impacts = lists[probed, first:]
-        else:
-            impacts = lists[probed[:, None], places]
+        impacts = stretch[probed] if whole else stretch[probed[:, None], places]
         part = part + (weight[probed] @ impacts - start[probed].sum())
         left = left - bounds[probed].sum()
     if threshold is not None:
         places, part = places[part > threshold], part[part > threshold]
-    return places, part
+    return places + begin, part
