@@ -103,7 +103,7 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 #: Stands for a missing doc_id while chunks are grouped, above all others.
 NAMELESS = (1 << 63) - 1
 
-CHUNKS = "digest long, doc_id long, text_hash int, place int, start int, end int, words int"
+CHUNKS = "digest long, doc_id long, text_hash long, place int, start int, end int, words int"
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.hash("text").alias("text_hash"),
+        F.xxhash64("text").alias("text_hash"),
         F.col("text").cast("binary").alias("text"),
     )
     every = rows.mapInArrow(_chunked, CHUNKS)
@@ -233,7 +233,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     spans = stored(spans, "repeated-spans")
     joined = docs.join(
         spans,
-        docs["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (F.hash(docs["text"]) == spans["__hash"]),
+        docs["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (F.xxhash64(docs["text"]) == spans["__hash"]),
         "left",
     ).withColumn("__text", _without("text", "__spans"))
     replaced = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
