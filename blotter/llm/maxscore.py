@@ -8,7 +8,7 @@ far as threshold, the terms with the smallest bounds whose sum cannot lift the b
 the threshold are non-essential. The essential lists are traversed whole; the others are
 probed, largest bound first and ``PROBED`` at a time, for those vectors only whose score so
 far plus the bounds left still beats the threshold. A shard is traversed in stretches, k vectors first and
-each twice as long as the one before; the threshold, and with it the split, is worked out anew for each.
+each ``GROWTH`` times as long as the one before; the threshold, and with it the split, is worked out anew for each.
 Vectors are kept in order of their id, so among equal scores the first stays.
 
 Vectors are dealt to shards and queries to blocks, both by hash and of bounded size; a task
@@ -30,6 +30,7 @@ SCALE = 64
 SHARD = 8192
 BLOCK = 2048
 PROBED = 8
+GROWTH = 8
 LONG = (1 << 63) - 1
 
 
@@ -145,12 +146,13 @@ def _best(ids, lists, asked, queries, k) -> tuple[np.ndarray, np.ndarray, np.nda
         own = int(np.searchsorted(ids, query_id))
         own = own if own < len(ids) and ids[own] == query_id else -1
         places, scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=kind)
+        query = _Query(low, high, weights[i])
         begin, size = 0, k
         while begin < len(ids):
             threshold = scores.min() if len(scores) == k else None
-            more, points = _beating(lists, low, high, weights[i], begin, begin + size, own, threshold)
+            more, points = query.beating(lists, begin, begin + size, own, threshold)
             places, scores = _top(np.concatenate([places, more]), np.concatenate([scores, points]), k)
-            begin, size = begin + size, 2 * size
+            begin, size = begin + size, GROWTH * size
         if kind is object:
             scores = np.array([min(max(int(s), -LONG - 1), LONG) for s in scores], dtype=np.int64)
         out.append((np.full(len(places), query_id), ids[places], scores.astype(np.int64)))
@@ -169,34 +171,42 @@ def _top(places: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
     return places[best], scores[best]
 
 
-def _beating(lists, low, high, weight, begin, end, own, threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a stretch that beat the threshold, and their scores; all of them without a threshold."""
-    stretch = lists[:, begin:end]
-    base = (np.where(weight > 0, low, high) * weight).sum()
-    bounds = np.abs(weight) * (high - low)
-    terms = np.argsort(bounds, kind="stable")
-    sums = np.cumsum(bounds[terms])
-    free = 0 if threshold is None else int(np.searchsorted(sums, threshold - base, side="right"))
-    essential, others = terms[free:], terms[:free][::-1]
-    left = sums[free - 1] if free else 0
-    # Adding up q * x gives base + impacts once the base of the terms not seen yet is added.
-    start = np.where(weight > 0, low, high) * weight
-    part = weight[essential] @ stretch[essential] + start[others].sum()
-    places = np.arange(stretch.shape[1])
-    if begin <= own < begin + len(places):
-        places, part = np.delete(places, own - begin), np.delete(part, own - begin)
-    whole = len(places) == stretch.shape[1]
-    for at in range(0, len(others) + 1, PROBED):
-        if threshold is not None:
+class _Query:
+    """The weights of a query, and the terms by bound."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, weight: np.ndarray) -> None:
+        self.weight = weight
+        # Adding up q * x gives base + impacts once the base of the terms not seen yet is added.
+        self.start = np.where(weight > 0, low, high) * weight
+        self.base = self.start.sum()
+        self.bounds = np.abs(weight) * (high - low)
+        self.terms = np.argsort(self.bounds, kind="stable")
+        self.sums = np.cumsum(self.bounds[self.terms])
+
+    def beating(self, lists, begin, end, own, threshold) -> tuple[np.ndarray, np.ndarray]:
+        """Places of a stretch that beat the threshold, and their scores; all of them without a threshold."""
+        stretch, weight, start = lists[:, begin:end], self.weight, self.start
+        places = np.arange(stretch.shape[1])
+        if threshold is None:
+            part = weight @ stretch
+            kept = places + begin != own
+            return places[kept] + begin, part[kept]
+        free = int(np.searchsorted(self.sums, threshold - self.base, side="right"))
+        essential, others = self.terms[free:], self.terms[:free][::-1]
+        left = self.sums[free - 1] if free else 0
+        part = weight[essential] @ stretch[essential] + start[others].sum()
+        if begin <= own < begin + len(places):
+            places, part = np.delete(places, own - begin), np.delete(part, own - begin)
+        whole = len(places) == stretch.shape[1]
+        for at in range(0, len(others) + 1, PROBED):
             alive = part + left > threshold
             if not alive.all():
                 places, part, whole = places[alive], part[alive], False
-        probed = others[at : at + PROBED]
-        if not len(places) or not len(probed):
-            break
-        impacts = stretch[probed] if whole else stretch[probed[:, None], places]
-        part = part + (weight[probed] @ impacts - start[probed].sum())
-        left = left - bounds[probed].sum()
-    if threshold is not None:
-        places, part = places[part > threshold], part[part > threshold]
-    return places + begin, part
+            probed = others[at : at + PROBED]
+            if not len(places) or not len(probed):
+                break
+            impacts = stretch[probed] if whole else stretch[probed[:, None], places]
+            part = part + (weight[probed] @ impacts - start[probed].sum())
+            left = left - self.bounds[probed].sum()
+        beats = part > threshold
+        return places[beats] + begin, part[beats]

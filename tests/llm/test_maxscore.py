@@ -46,7 +46,7 @@ def test_later_stretches_probe_few_vectors():
     lists = np.ascontiguousarray(vectors.T).astype(np.float64)
     low, high = lists.min(axis=1), lists.max(axis=1)
     threshold = np.sort(vectors @ vectors[0])[-30]
-    places, scores = maxscore._beating(lists, low, high, lists[:, 0], 1000, 4000, -1, threshold)
+    places, scores = maxscore._Query(low, high, lists[:, 0]).beating(lists, 1000, 4000, -1, threshold)
     exact = vectors[1000:] @ vectors[0]
     assert places.tolist() == (1000 + np.flatnonzero(exact > threshold)).tolist()
     assert scores.tolist() == exact[exact > threshold].tolist()
