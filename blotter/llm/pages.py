@@ -36,6 +36,8 @@ FURNITURE, LOOSE, ARTICLE = 0, 1, 2
 
 #: Pages that share at least this part of their lines are copies.
 COPY = 0.8
+#: Pages that are parsed before their lines are passed on.
+TOGETHER = 256
 #: An article line of which at least this part is link text is no prose.
 LINKED = 0.5
 
@@ -263,7 +265,7 @@ PARSED = (
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, row = TaskContext.get().partitionId(), 0
-    for batch in batches:
+    for batch in (whole.slice(at, TOGETHER) for whole in batches for at in range(0, whole.num_rows, TOGETHER)):
         texts, places, opened, hashes = [], [], [], []
         for page in batch.column(2):
             own = lines((page.as_py() or b"").decode(errors="replace"))
