@@ -4,13 +4,16 @@ Four ratios of each document (symbols, repeated lines, repeated words, mean word
 go into quantile sketches, one per language, source and ratio. A sketch is a histogram
 whose buckets keep the leading ``SKETCH_BITS`` bits of the value, so a quantile is off by
 at most 1 / 2**(SKETCH_BITS - 1) of itself; two sketches merge by adding their counts, in any
-order, with the same result. A document is kept if each ratio lies within
+order, with the same result. The limits of a group come from its sketch alone:
 
-    [q1 - REACH * spread, q3 + REACH * spread],   spread = max(q3 - q1, least spread)
+    [median - REACH * (median - q(1 - tail)), median + REACH * (q(tail) - median)]
 
-of its language and source. A source with fewer than ``FEW`` documents in a language uses
-the merged sketch of the language, and no source may raise a limit to more than ``LOOSER``
-times that of its language, so a source made of junk does not set its own standard.
+where ``tail`` is 90% for ratios that junk sets apart in kind and 99% for those whose high values
+are rare among clean documents as well. There is no least spread: where nine tenths of a language
+have no symbols, none are accepted. Limits of a source are averaged with those of its language,
+which weigh as much as ``PRIOR`` documents, so they change steadily with the number of documents;
+and no source may raise a limit to more than ``LOOSER`` times that of its language, so a
+source made of junk does not set its own standard.
 
 Everything is DataFrame expressions. Sketches are added up in the map tasks, so a source
 with a third of all rows sends no more than another one.
@@ -33,16 +36,18 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 SKETCH_BITS = 6
-FEW = 100
-REACH = 3
+#: Documents that the limits of the language count for beside those of a source.
+PRIOR = 100
+REACH = 4
 LOOSER = 3
 
-#: Each ratio with the least spread it is given. Per mille, the word length in hundredths.
+#: Each ratio with the quantile, per mille, that its spread reaches to. Values are per mille, too,
+#: the word length in hundredths.
 RATIOS: Mapping[str, int] = {
-    "symbols": 10,
-    "dup_lines": 100,
-    "repeat_words": 100,
-    "word_length": 100,
+    "symbols": 900,
+    "dup_lines": 990,
+    "repeat_words": 990,
+    "word_length": 900,
 }
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -149,13 +154,10 @@ def sketches(df: DataFrame) -> DataFrame:
     values = F.array(
         *(F.struct(F.lit(name).alias("ratio"), _ratio(name).alias("value")) for name in RATIOS)
     )
-    value = F.col("at.value")
-    shift = F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0))
-    bucket = F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
     return (
         df.where(~base_failed())
         .select("lang", "source", F.explode(values).alias("at"))
-        .groupBy("lang", "source", "at.ratio", bucket.alias("bucket"))
+        .groupBy("lang", "source", "at.ratio", _bucket(F.col("at.value")).alias("bucket"))
         .agg(F.count("*").alias("n"))
     )
 
@@ -173,11 +175,11 @@ def limits(sketch: DataFrame) -> DataFrame:
         F.col("own.lang").eqNullSafe(F.col("whole.lang"))
         & (F.col("own.ratio") == F.col("whole.ratio")),
     )
-    enough = F.col("own.n") >= FEW
-    low = F.when(enough, F.col("own.low")).otherwise(F.col("whole.low"))
-    high = F.when(
-        enough, F.least(F.col("own.high"), LOOSER * F.col("whole.high"))
-    ).otherwise(F.col("whole.high"))
+    n = F.col("own.n")
+    blended = lambda end: F.floor(
+        (n * F.col(f"own.{end}") + PRIOR * F.col(f"whole.{end}")) / (n + PRIOR)
+    )
+    low, high = blended("low"), F.least(blended("high"), LOOSER * F.col("whole.high"))
     chosen = joined.select("own.lang", "own.source", "own.ratio", low.alias("low"), high.alias("high"))
     of = lambda name, end: F.max(F.when(F.col("ratio") == name, F.col(end)))
     return chosen.groupBy("lang", "source").agg(
@@ -201,7 +203,7 @@ def judged(df: DataFrame, bounds: DataFrame) -> DataFrame:
     within = reduce(
         lambda a, b: a & b,
         (
-            _ratio(name).between(F.col(f"{MARK}low_{name}"), F.col(f"{MARK}high_{name}"))
+            _bucket(_ratio(name)).between(F.col(f"{MARK}low_{name}"), F.col(f"{MARK}high_{name}"))
             for name in RATIOS
         ),
     )
@@ -241,10 +243,15 @@ def keep_quality(docs: DataFrame) -> DataFrame:
 
 
 def _ratio(name: str) -> Column:
-    """A whole number; 0 where the divisor is 0."""
+    """A whole number; 0 where the divisor is 0.
+
+    Of symbols only as many count as their number is sure to be above, two standard errors
+    down, so that one or a few in a short text say nothing.
+    """
     m = {measure: F.col(MARK + measure) for measure in MEASURES}
+    sure = F.floor(F.greatest(m["n_symbols"] - 2 * F.sqrt(m["n_symbols"]), F.lit(0.0)))
     top, bottom = {
-        "symbols": (1000 * m["n_symbols"], m["word_chars"]),
+        "symbols": (1000 * sure, m["word_chars"]),
         "dup_lines": (1000 * m["n_dup_lines"], m["n_words"]),
         "repeat_words": (1000 * m["n_repeat_words"], m["n_words"]),
         "word_length": (100 * m["word_chars"], m["n_words"]),
@@ -252,21 +259,34 @@ def _ratio(name: str) -> Column:
     return F.floor(top / F.greatest(bottom, F.lit(1)))
 
 
+def _bucket(value: Column) -> Column:
+    """The least value of the same bucket. Documents are judged by it, as limits are buckets."""
+    shift = F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
+
+
 def _fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """Per group and ratio: n, low and high, from the quartiles of the sketch."""
+    """Per group and ratio: n, low and high, from the median and both tails of the sketch."""
     group = Window.partitionBy(*keys, "ratio")
     below = F.sum("n").over(
         group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = sketch.withColumns({"below": below, "total": F.sum("n").over(group)})
-    quartile = lambda p: F.min(F.when(4 * F.col("below") >= p * F.col("total"), F.col("bucket")))
-    quartiles = ranked.groupBy(*keys, "ratio").agg(
-        F.sum("n").alias("n"), quartile(1).alias("q1"), quartile(3).alias("q3")
+    tail = F.coalesce(*(F.when(F.col("ratio") == name, F.lit(t)) for name, t in RATIOS.items()))
+    ranked = sketch.withColumns({"below": below, "total": F.sum("n").over(group), "tail": tail})
+    quantile = lambda p: F.min(
+        F.when(1000 * F.col("below") >= p * F.col("total"), F.col("bucket"))
     )
-    least = F.coalesce(
-        *(F.when(F.col("ratio") == name, F.lit(value)) for name, value in RATIOS.items())
+    found = ranked.groupBy(*keys, "ratio").agg(
+        F.sum("n").alias("n"),
+        quantile(F.lit(500)).alias("middle"),
+        quantile(1000 - F.col("tail")).alias("bottom"),
+        quantile(F.col("tail")).alias("top"),
     )
-    spread = REACH * F.greatest(F.col("q3") - F.col("q1"), least)
-    return quartiles.select(
-        *keys, "ratio", "n", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high")
+    middle = F.col("middle")
+    return found.select(
+        *keys,
+        "ratio",
+        "n",
+        (middle - REACH * (middle - F.col("bottom"))).alias("low"),
+        (middle + REACH * (F.col("top") - middle)).alias("high"),
     )

@@ -66,46 +66,45 @@ WITH docs AS (
 ), ruled AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base
 ), ratios AS (
-  SELECT rid, lang, source, ratio, value, least_spread FROM (
+  SELECT rid, lang, source, ratio, value, tail FROM (
     SELECT rid, lang, source, unnest([
-      {'ratio': 'symbols', 'value': 1000 * n_symbols // greatest(word_chars, 1), 'least_spread': 10},
-      {'ratio': 'dup_lines', 'value': 1000 * n_dup_lines // greatest(n_words, 1), 'least_spread': 100},
-      {'ratio': 'repeat_words', 'value': 1000 * n_repeat_words // greatest(n_words, 1), 'least_spread': 100},
-      {'ratio': 'word_length', 'value': 100 * word_chars // greatest(n_words, 1), 'least_spread': 100}
+      {'ratio': 'symbols', 'tail': 900,
+       'value': 1000 * floor(greatest(n_symbols - 2 * sqrt(n_symbols), 0))::BIGINT // greatest(word_chars, 1)},
+      {'ratio': 'dup_lines', 'tail': 990, 'value': 1000 * n_dup_lines // greatest(n_words, 1)},
+      {'ratio': 'repeat_words', 'tail': 990, 'value': 1000 * n_repeat_words // greatest(n_words, 1)},
+      {'ratio': 'word_length', 'tail': 900, 'value': 100 * word_chars // greatest(n_words, 1)}
     ], recursive := true) FROM ruled WHERE NOT base_failed)
 ), bucketed AS (
   SELECT *, (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) AS bucket
   FROM ratios
 ), fine AS (
-  SELECT lang, source, ratio, bucket, count(*) AS n FROM bucketed GROUP BY ALL
+  SELECT lang, source, ratio, tail, bucket, count(*) AS n FROM bucketed GROUP BY ALL
 ), own_below AS (
   SELECT *, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket) AS below,
          sum(n) OVER (PARTITION BY lang, source, ratio) AS total FROM fine
 ), own AS (
-  SELECT lang, source, ratio, sum(n) AS n, min(bucket) FILTER (4 * below >= total) AS q1,
-         min(bucket) FILTER (4 * below >= 3 * total) AS q3 FROM own_below GROUP BY ALL
+  SELECT lang, source, ratio, sum(n) AS n, min(bucket) FILTER (1000 * below >= 500 * total) AS middle,
+         min(bucket) FILTER (1000 * below >= (1000 - tail) * total) AS bottom,
+         min(bucket) FILTER (1000 * below >= tail * total) AS top FROM own_below GROUP BY ALL
 ), whole_below AS (
   SELECT *, sum(n) OVER (PARTITION BY lang, ratio ORDER BY bucket) AS below,
          sum(n) OVER (PARTITION BY lang, ratio) AS total
-  FROM (SELECT lang, ratio, bucket, sum(n) AS n FROM fine GROUP BY ALL)
+  FROM (SELECT lang, ratio, tail, bucket, sum(n) AS n FROM fine GROUP BY ALL)
 ), whole AS (
-  SELECT lang, ratio, min(bucket) FILTER (4 * below >= total) AS q1,
-         min(bucket) FILTER (4 * below >= 3 * total) AS q3 FROM whole_below GROUP BY ALL
-), least_spreads AS (
-  SELECT * FROM (VALUES ('symbols', 10), ('dup_lines', 100), ('repeat_words', 100), ('word_length', 100))
-    AS v(ratio, spread)
+  SELECT lang, ratio, min(bucket) FILTER (1000 * below >= 500 * total) AS middle,
+         min(bucket) FILTER (1000 * below >= (1000 - tail) * total) AS bottom,
+         min(bucket) FILTER (1000 * below >= tail * total) AS top FROM whole_below GROUP BY ALL
 ), limits AS (
   SELECT o.lang, o.source, o.ratio,
-         CASE WHEN o.n >= 100 THEN o.q1 - 3 * greatest(o.q3 - o.q1, v.spread)
-              ELSE w.q1 - 3 * greatest(w.q3 - w.q1, v.spread) END AS low,
-         CASE WHEN o.n >= 100 THEN least(o.q3 + 3 * greatest(o.q3 - o.q1, v.spread),
-                                         3 * (w.q3 + 3 * greatest(w.q3 - w.q1, v.spread)))
-              ELSE w.q3 + 3 * greatest(w.q3 - w.q1, v.spread) END AS high
+         floor((o.n * (o.middle - 4 * (o.middle - o.bottom)) + 100 * (w.middle - 4 * (w.middle - w.bottom)))
+               / (o.n + 100)) AS low,
+         least(floor((o.n * (o.middle + 4 * (o.top - o.middle)) + 100 * (w.middle + 4 * (w.top - w.middle)))
+                     / (o.n + 100)),
+               3 * (w.middle + 4 * (w.top - w.middle))) AS high
   FROM own o JOIN whole w ON o.lang IS NOT DISTINCT FROM w.lang AND o.ratio = w.ratio
-             JOIN least_spreads v ON o.ratio = v.ratio
 ), verdicts AS (
-  SELECT r.rid, bool_and(r.value BETWEEN l.low AND l.high) AS within
-  FROM ratios r JOIN limits l ON r.lang IS NOT DISTINCT FROM l.lang
+  SELECT r.rid, bool_and(r.bucket BETWEEN l.low AND l.high) AS within
+  FROM bucketed r JOIN limits l ON r.lang IS NOT DISTINCT FROM l.lang
                              AND r.source IS NOT DISTINCT FROM l.source AND r.ratio = l.ratio
   GROUP BY r.rid
 )
