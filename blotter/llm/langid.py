@@ -11,7 +11,10 @@ forward and the backward pass over all distinct words in tasks, and adds up expe
 What comes to the driver is one number per piece and language.
 
 Words are lower-cased and reduced to their letters. A task runs the lattice once for each word
-it does not know yet, many words at a time in NumPy.
+it does not know yet, many words at a time in NumPy. Words of any length are scored whole: beyond
+``STRETCH`` letters the pass goes on stretch by stretch from the sums of the last nodes, which are
+brought back to 1 each time, so no sum vanishes and memory does not grow with the word. Only
+learning takes the words of its sample in parts, of ``PART`` letters.
 """
 
 from __future__ import annotations
@@ -33,8 +36,11 @@ SAMPLE = 1000
 ROUNDS = 3
 #: Added to every expected count.
 SMOOTHING = 0.05
-#: Words with more letters are scored in parts, which keeps the least likely sum above what a float holds.
-LONGEST = 40
+#: Letters that are summed up before sums are brought back to 1. With those of the longest piece (16) a
+#: letter may cost 1e-8, scaled, before a float no longer holds the sum.
+STRETCH = 20
+#: Letters of a word that are learned from together.
+PART = 40
 #: A letter costs about this factor; probabilities are scaled by it so that sums stay near 1.
 LETTER = 9.0
 #: Words whose scores a task keeps; at that number it starts anew.
@@ -76,7 +82,7 @@ def letters(word: bytes) -> str:
 
 
 def parts(word: str) -> list[str]:
-    return [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
+    return [word[i : i + PART] for i in range(0, len(word), PART)]
 
 
 class Lattice:
@@ -115,16 +121,21 @@ class Lattice:
     def _sums(self, source, target, begin, step, probabilities) -> np.ndarray:
         sums = np.zeros((self.nodes, probabilities.shape[1]))
         sums[begin] = 1.0
-        order = np.lexsort((target, step))
-        step, target, source, piece = step[order], target[order], source[order], self.piece[order]
-        bounds = np.append(np.flatnonzero(np.diff(step, prepend=step[:1] - 1)), len(step))
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            nodes = target[a:b]
-            runs = np.flatnonzero(np.diff(nodes, prepend=-1))
-            sums[nodes[runs]] = np.add.reduceat(sums[source[a:b]] * probabilities[piece[a:b]], runs, axis=0)
+        add_up(sums, source, target, step, self.piece, probabilities)
         return sums
 
 
+def add_up(sums, source, target, step, piece, probabilities) -> None:
+    """Follows the arcs in order of their steps; arcs to the same node have the same step."""
+    order = np.lexsort((target, step))
+    step, target, source, piece = step[order], target[order], source[order], piece[order]
+    bounds = np.append(np.flatnonzero(np.diff(step, prepend=step[:1] - 1)), len(step))
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        nodes = target[a:b]
+        runs = np.flatnonzero(np.diff(nodes, prepend=-1))
+        sums[nodes[runs]] = np.add.reduceat(sums[source[a:b]] * probabilities[piece[a:b]], runs, axis=0)
+
+
 def finder(pieces: list[str]) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for i, piece in enumerate(pieces):
@@ -140,9 +151,65 @@ def scaled(model: Model) -> np.ndarray:
 
 def word_scores(words: list[str], automaton: ahocorasick.Automaton, probabilities: np.ndarray) -> np.ndarray:
     """Log-likelihood of each word under each language, from scaled probabilities."""
-    lattice = Lattice(words, automaton, len(probabilities) - 1)
-    sums = lattice.forward(probabilities)[lattice.last]
-    return np.log(np.maximum(sums, 1e-300)) - lattice.letters[:, None] * np.log(LETTER)
+    sizes = np.array([len(word) for word in words], dtype=np.int64)
+    scores = np.empty((len(words), probabilities.shape[1]))
+    short = np.flatnonzero(sizes <= STRETCH)
+    if len(short):
+        lattice = Lattice([words[i] for i in short], automaton, len(probabilities) - 1)
+        scores[short] = np.log(np.maximum(lattice.forward(probabilities)[lattice.last], 1e-300))
+    long = np.flatnonzero(sizes > STRETCH)
+    if len(long):
+        scores[long] = _long_sums([words[i] for i in long], automaton, probabilities)
+    return scores - sizes[:, None] * np.log(LETTER)
+
+
+def _long_sums(words: list[str], automaton: ahocorasick.Automaton, probabilities: np.ndarray) -> np.ndarray:
+    """Logarithm of the scaled sum over all ways through each word.
+
+    A row holds ``wide`` letters that were passed and the next stretch of a word; wide is the length of the
+    longest piece, so no arc into the stretch begins before the row. Node p of a row is the place
+    before its letter p. What lies outside the word is filled with a character of no piece.
+    """
+    unknown = len(probabilities) - 1
+    wide = max((len(piece) for piece in automaton.keys()), default=1)
+    width = wide + STRETCH
+    marked = [START + word for word in words]
+    logs = np.zeros((len(words), probabilities.shape[1]))
+    alive = np.arange(len(words))
+    passed = np.zeros((len(words), wide, probabilities.shape[1]))
+    passed[:, -1] = 1.0
+    at = 0
+    while len(alive):
+        before = STOP * max(wide - at, 0)
+        rows = [(before + marked[i][max(at - wide, 0) : at + STRETCH]).ljust(width, STOP) for i in alive]
+        string = "".join(rows)
+        hits = np.fromiter(chain.from_iterable(automaton.iter(string)), dtype=np.int64).reshape(-1, 2)
+        row, end = hits[:, 0] // width, hits[:, 0] % width + 1
+        length, piece = hits[:, 1] & 255, hits[:, 1] >> 8
+        new = (end > wide) & (length < end)
+        row, end, length, piece = row[new], end[new], length[new], piece[new]
+        # A letter that is no piece is an arc of its own.
+        bare = np.frombuffer(string.encode("utf-32-le"), dtype="<u4").reshape(-1, width) != ord(STOP)
+        bare[:, :wide] = False
+        bare[row[length == 1], end[length == 1] - 1] = False
+        lone_row, lone = np.nonzero(bare)
+        row = np.concatenate([row, lone_row])
+        end = np.concatenate([end, lone + 1])
+        length = np.concatenate([length, np.ones(len(lone), dtype=np.int64)])
+        piece = np.concatenate([piece, np.full(len(lone), unknown)])
+        sums = np.zeros((len(alive), width + 1, probabilities.shape[1]))
+        sums[:, 1 : wide + 1] = passed
+        to = row * (width + 1) + end
+        add_up(sums.reshape(-1, probabilities.shape[1]), to - length, to, end, piece, probabilities)
+        last = np.array([len(marked[i]) for i in alive]) - at + wide
+        done = last <= width
+        logs[alive[done]] += np.log(np.maximum(sums[np.flatnonzero(done), last[done]], 1e-300))
+        alive, passed = alive[~done], sums[~done, width - wide + 1 :]
+        most = passed.max(axis=1, initial=1e-300)
+        logs[alive] += np.log(most)
+        passed = passed / most[:, None]
+        at += STRETCH
+    return logs
 
 
 def learn(labelled: DataFrame, pieces: list[str]) -> Model:
@@ -270,19 +337,13 @@ class Scorer:
             new = list(dict.fromkeys(words))
         plain = [letters(word) for word in new]
         forms = [form for form in dict.fromkeys(plain) if form not in self.forms]
-        pieces = list(dict.fromkeys(part for form in forms for part in parts(form)))
-        if pieces:
-            place = {part: i for i, part in enumerate(pieces)}
-            scores = word_scores(pieces, self.automaton, self.probabilities)
+        if forms:
+            scores = word_scores(forms, self.automaton, self.probabilities)
             while self.used + len(forms) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            for form in forms:
-                if len(form) <= LONGEST:
-                    self.rows[self.used] = scores[place[form]]
-                else:
-                    self.rows[self.used] = scores[[place[part] for part in parts(form)]].sum(axis=0)
-                self.forms[form] = self.used
-                self.used += 1
+            self.rows[self.used : self.used + len(forms)] = scores
+            self.forms.update(zip(forms, range(self.used, self.used + len(forms))))
+            self.used += len(forms)
         self.known.update((word, self.forms[form]) for word, form in zip(new, plain))
 
     def add(self, texts: list[list[bytes]], langs: list[str], scores: list[float]) -> None:
