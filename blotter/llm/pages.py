@@ -7,14 +7,19 @@ their URL path; a page is compared with the neighbour whose path has the longer
 Their lines are aligned by a longest common subsequence, and the lines both share are deleted:
 they belong to the site, not to the page. Two checks follow, for what differencing cannot tell:
 
-* a shared line in an article stays, unless most of it is link text: two pages may quote the
-  same passage, and a neighbour that shares nearly all lines is a copy and proves nothing;
+* a shared line that is prose (of ``PROSE`` code points or more, or in an article, and no link text) goes only if
+  more than two and more than half of the host's pages share it with their neighbours: two
+  pages may quote the same passage, or one may be a later version of the other. The lines of a page whose
+  neighbour has all of them are treated alike;
 * furniture that no neighbour shares, such as reader comments, goes by its zone, and so do loose lines
   where there is an article, unless they hold so much more prose that the article is a teaser.
 
-The order of pages is a distributed sort. The rank of a page is its place in its part plus the rows
+Copies prove nothing about each other. Pages of a host with the same lines are one page while neighbours are
+looked for, and what the first of them loses all of them lose.
+
+The order of pages is a distributed sort of addresses. The rank of a page is its place in its part plus the rows
 of the parts before, so neighbours meet by an equi-join on the rank, and a host with a
-third of all pages is spread like any other.
+third of all pages is spread like any other. Line hashes are joined to the pair that was found.
 """
 
 from __future__ import annotations
@@ -24,18 +29,20 @@ import os.path
 import re
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from blotter.sources import stored
 
 FURNITURE, LOOSE, ARTICLE = 0, 1, 2
 
-#: Pages that share at least this part of their lines are copies.
-COPY = 0.8
+#: Lines of so many code points that are no links are prose.
+PROSE = 80
 #: Pages that are parsed before their lines are passed on.
 TOGETHER = 256
 #: An article line of which at least this part is link text is no prose.
@@ -246,7 +253,8 @@ def _lengths(a: list[int], b: list[int]) -> list[int]:
 
 
 def chosen(own: list[Line]) -> list[tuple[int, str, bool]]:
-    """(place, text, open) of the lines that the zones leave; an open one goes if it is shared."""
+    """(place, text, open) of the lines that the zones leave; an open one goes if it is shared, others if most
+    pages of the host share them."""
     prose = {zone: sum(len(text) for text, z, linked in own if z == zone and not linked) for zone in (LOOSE, ARTICLE)}
     if not any(z == ARTICLE for _, z, _ in own):
         zones = {LOOSE}
@@ -254,7 +262,9 @@ def chosen(own: list[Line]) -> list[tuple[int, str, bool]]:
         zones = {LOOSE, ARTICLE}
     else:
         zones = {ARTICLE}
-    return [(i, text, z == LOOSE or linked) for i, (text, z, linked) in enumerate(own) if z in zones]
+    return [
+        (i, text, linked or (z == LOOSE and len(text) < PROSE)) for i, (text, z, linked) in enumerate(own) if z in zones
+    ]
 
 
 PARSED = (
@@ -291,79 +301,128 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row += size
 
 
+SHARED = "part int, row long, host string, digest long, shared array<struct<at int, open boolean, hash long>>"
+
+
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """part, row, stays for each page that loses a line: which of its chosen lines stay."""
+    """For each page that shares chosen lines with its neighbour: which, as places in the list of chosen lines."""
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("open", pa.bool_()), ("hash", pa.int64())]))
     for batch in batches:
-        parts, rows, stays = [], [], []
-        for page in batch.to_pylist():
-            gone = _site_lines(page)
-            left = [not (is_open and i in gone) for i, is_open in zip(page["places"], page["open"])]
-            if not all(left):
-                parts.append(page["part"])
-                rows.append(page["row"])
-                stays.append(left)
+        kept, found = [], []
+        for number, page in enumerate(batch.select(["places", "open", "hashes", "other_hashes"]).to_pylist()):
+            places = shared(page["hashes"], page["other_hashes"])
+            lines_shared = [
+                {"at": at, "open": is_open, "hash": page["hashes"][i]}
+                for at, (i, is_open) in enumerate(zip(page["places"], page["open"]))
+                if i in places
+            ]
+            if len(lines_shared) == len(page["places"]):  # nothing would be left of it
+                lines_shared = [{**line, "open": False} for line in lines_shared]
+            if lines_shared:
+                kept.append(number)
+                found.append(lines_shared)
+        rows = batch.select(["part", "row", "host", "digest"]).take(pa.array(kept, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(parts, pa.int32()), pa.array(rows, pa.int64()), pa.array(stays, pa.list_(pa.bool_()))],
-            names=["part", "row", "stays"],
+            [*rows.columns, pa.array(found, kind)], names=["part", "row", "host", "digest", "shared"]
         )
 
 
-def _site_lines(page: dict) -> set[int]:
-    """Places shared with the nearer neighbour, or with the other one if that is a copy."""
-    neighbours = [
-        (-len(os.path.commonprefix([page["path"], page[f"{side}_path"]])), i, page[f"{side}_hashes"])
-        for i, side in enumerate(("prev", "next"))
-        if page[f"{side}_hashes"] is not None
-    ]
-    for _, _, hashes in sorted(neighbours, key=lambda n: n[:2]):
-        places = shared(page["hashes"], hashes)
-        if len(places) < COPY * max(len(page["hashes"]), 1):
-            return places
-    return set()
+@F.pandas_udf(BooleanType())
+def _next_is_nearer(paths: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
+    """Whether the path after has the longer common beginning; of equally near ones the one before counts."""
+    length = lambda a, b: len(os.path.commonprefix([a, b]))
+    return pd.Series([length(p, n) > length(p, b) for p, b, n in zip(paths, before, after)], dtype="bool")
 
 
-def with_neighbours(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, url, hashes and others) with path and hashes of the neighbours in URL order
-    of the same host: prev_path, prev_hashes, next_path, next_hashes, null where there is none."""
+def addressed(pages: DataFrame) -> DataFrame:
+    """``pages`` (url, places, open, hashes and others) with host, path and a digest of the lines."""
     address = F.coalesce(F.col("url"), F.lit(""))
     start = r"^[A-Za-z][A-Za-z0-9+.-]*://"
-    order = ["host", "path", "url", "page_id", "digest"]
-    placed = pages.withColumns(
+    return pages.withColumns(
         {
             "host": F.regexp_extract(address, start + r"([^/?#]*)", 1),
             "path": F.regexp_extract(address, start + r"[^/?#]*([^?#]*)", 1),
-            "digest": F.xxhash64("hashes"),
+            "digest": F.xxhash64("places", "open", "hashes"),
         }
     )
-    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("digest")
+
+
+def neighbours(firsts: DataFrame) -> DataFrame:
+    """host, digest, part, row, other_part, other_row: the neighbour of each page that has one.
+
+    ``firsts`` has host, digest, path, url, page_id, part and row of different pages. They are put in order of their
+    addresses; of the pages before and after, that of the same host with the nearer path is taken.
+    """
+    order = ["host", "path", "url", "page_id", "digest"]
+    placed = firsts.repartitionByRange(*order).sortWithinPartitions(*order).drop("url", "page_id")
     # The upper bits of this number are the sorted part, the lower 33 the place in it.
     placed = stored(placed.withColumn("place", F.monotonically_increasing_id()), "page-order")
     placed = placed.withColumn("sorted", F.shiftright("place", 33))
     ahead = Window.orderBy("sorted").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("sorted").agg(F.count("*").alias("size"))
-    firsts = sizes.select("sorted", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("first"))
-    rank = F.col("first") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    ranked = placed.join(stored(firsts, "page-parts"), "sorted").withColumn("rank", rank)
-    joined = ranked.drop("sorted", "first", "place")
+    before = sizes.select("sorted", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("before"))
+    rank = F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    ranked = placed.join(stored(before, "page-parts"), "sorted").withColumn("rank", rank)
+    ranked = ranked.drop("sorted", "before", "place")
+    joined = ranked
     for side, step in (("prev", 1), ("next", -1)):
         other = ranked.select(
             (F.col("rank") + step).alias("rank"),
-            F.col("host").alias("other_host"),
-            F.col("path").alias(f"{side}_path"),
-            F.col("hashes").alias(f"{side}_hashes"),
+            F.struct("host", "path", "part", "row").alias(side),
         )
         joined = joined.join(other, "rank", "left")
-        same = F.col("host") == F.col("other_host")
-        joined = joined.withColumn(f"{side}_hashes", F.when(same, F.col(f"{side}_hashes"))).drop("other_host")
-    return joined
+        joined = joined.withColumn(side, F.when(F.col(f"{side}.host") == F.col("host"), F.col(side)))
+    either = joined.where(F.col("prev").isNotNull() | F.col("next").isNotNull())
+    blank = F.lit("")
+    nearer = _next_is_nearer("path", F.coalesce("prev.path", blank), F.coalesce("next.path", blank))
+    later = F.col("prev").isNull() | (F.col("next").isNotNull() & nearer)
+    chosen_one = F.when(later, F.col("next")).otherwise(F.col("prev"))
+    return either.withColumn("other", chosen_one).select(
+        "host", "digest", "part", "row", F.col("other.part").alias("other_part"), F.col("other.row").alias("other_row")
+    )
+
+
+def lost_lines(parsed: DataFrame) -> DataFrame:
+    """part, row, lost for each page that loses lines: their places in the list of chosen lines."""
+    narrow = addressed(parsed.select("page_id", "url", "part", "row", "places", "open", "hashes"))
+    narrow = stored(narrow.drop("places", "open", "hashes"), "page-addresses")
+    first = F.min(F.struct("path", "url", "page_id", "part", "row")).alias("first")
+    firsts = stored(narrow.groupBy("host", "digest").agg(first).select("host", "digest", "first.*"), "page-firsts")
+    own = parsed.select("part", "row", "places", "open", "hashes")
+    other = parsed.select(
+        F.col("part").alias("other_part"), F.col("row").alias("other_row"), F.col("hashes").alias("other_hashes")
+    )
+    pairs = stored(neighbours(firsts), "page-pairs")
+    pairs = pairs.join(own, ["part", "row"]).join(other, ["other_part", "other_row"]).drop("other_part", "other_row")
+    common = stored(pairs.mapInArrow(_difference, SHARED), "page-shared")
+
+    once = F.array_distinct(F.transform("shared", lambda line: line["hash"]))
+    lines_shared = common.select("host", F.explode(once).alias("hash"))
+    often = lines_shared.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") > 2)
+    sizes = firsts.groupBy("host").agg(F.count("*").alias("size"))
+    # More than half of the pages hold each, so a host has no more of them than twice the lines of its mean page.
+    site = (
+        often.join(sizes, "host")
+        .where(2 * F.col("n") > F.col("size"))
+        .groupBy("host")
+        .agg(F.collect_list("hash").alias("site"))
+    )
+    goes = lambda line: line["open"] | F.coalesce(F.array_contains("site", line["hash"]), F.lit(False))
+    lost = (
+        common.join(site, "host", "left")
+        .select("host", "digest", F.transform(F.filter("shared", goes), lambda line: line["at"]).alias("lost"))
+        .where(F.size("lost") > 0)
+    )
+    return narrow.select("part", "row", "host", "digest").join(lost, ["host", "digest"]).select("part", "row", "lost")
 
 
 def main_texts(table: DataFrame) -> DataFrame:
     """page_id, url, text for every row of a table with page_id, url and html.
 
     Null html is as empty html: empty text. A null URL has empty host and path. Repeated rows
-    come back as often; they are each other's neighbours and, as copies, prove nothing.
-    Other columns are not looked at. Texts stay where they were parsed: only line hashes are
+    come back as often; like all pages of a host with the same lines they lose the same lines, against a page that differs. A
+    host whose pages are all alike has no neighbours, and only zones decide.
+    Other columns are not looked at. Texts stay where they were parsed: only addresses are
     sorted, and only pages that lose a line are joined back.
     """
     rows = table.select(
@@ -372,16 +431,8 @@ def main_texts(table: DataFrame) -> DataFrame:
         F.col("html").cast("binary").alias("html"),
     )
     parsed = stored(rows.mapInArrow(_parse, PARSED), "page-lines")
-    pairs = with_neighbours(parsed.select("page_id", "url", "part", "row", "places", "open", "hashes"))
-    pairs = pairs.select(
-        "part", "row", "places", "open", "path", "hashes", "prev_path", "prev_hashes", "next_path", "next_hashes"
-    )
-    losses = stored(
-        pairs.mapInArrow(_difference, "part int, row long, stays array<boolean>"), "page-losses"
-    )
-    left = F.filter(
-        F.zip_with("texts", "stays", lambda text, stays: F.when(stays, text)), lambda text: text.isNotNull()
-    )
+    losses = stored(lost_lines(parsed), "page-losses")
     joined = parsed.select("page_id", "url", "part", "row", "texts").join(losses, ["part", "row"], "left")
-    texts = F.when(F.col("stays").isNull(), F.col("texts")).otherwise(left)
+    left = F.filter("texts", lambda text, at: ~F.array_contains("lost", at))
+    texts = F.when(F.col("lost").isNull(), F.col("texts")).otherwise(left)
     return joined.select("page_id", "url", F.array_join(texts, "\n").alias("text"))
