@@ -41,6 +41,8 @@ from blotter.sources import stored
 
 FURNITURE, LOOSE, ARTICLE = 0, 1, 2
 
+#: The lines of a site are copied so often.
+PIECES = 32
 #: Lines of so many code points that are no links are prose.
 PROSE = 80
 #: Pages that are parsed before their lines are passed on.
@@ -407,9 +409,12 @@ def lost_lines(parsed: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.collect_list("hash").alias("site"))
     )
+    # Dealt out by host and piece, as one host may have a third of all pages.
+    site = site.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    common = common.withColumn("piece", F.pmod(F.xxhash64("part", "row"), F.lit(PIECES)).cast("int"))
     goes = lambda line: line["open"] | F.coalesce(F.array_contains("site", line["hash"]), F.lit(False))
     lost = (
-        common.join(site, "host", "left")
+        common.join(site, ["host", "piece"], "left")
         .select("host", "digest", F.transform(F.filter("shared", goes), lambda line: line["at"]).alias("lost"))
         .where(F.size("lost") > 0)
     )
