@@ -3,14 +3,14 @@
 Sources in code-point order (null last) have the weights 5, 2, 1, 5, 2, 1, ... and share as
 many words as all documents have. A target stops at ``EPOCHS`` times the words of its
 source; what is over is shared again by weight until no target is above. Documents of a
-source are put in order of a hash of their doc_id. A source whose target is e times its words
+source are put in order of a hash of their doc_id and text. A source whose target is e times its words
 plus a rest gives every document e times and then its documents in order up to the rest; the
 document at the cut gives its first words only, so the budget is met to the word.
 
 The order is kept distributed: the leading hex digits of the hash cut a source into ranges
 of about ``RANGE`` rows, the words of each range are summed, and prefix sums over the ranges say
 where each range begins. Only rows of one range are ever sorted together, so a source
-with a third of all rows is many small tasks.
+with a third of all rows is many small tasks, also where its documents share one doc_id or have none.
 """
 
 from __future__ import annotations
@@ -63,20 +63,20 @@ def targets(sizes: DataFrame) -> DataFrame:
     return filled.select("source", "source_size", target.alias("target"))
 
 
-def mixed(docs: DataFrame, size: Column) -> DataFrame:
+def order_key() -> Column:
+    """Of doc_id and text, so that rows without an id, or with the same one, are spread, too."""
+    digest = F.coalesce(F.md5("text"), F.lit(""))
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest))
+
+
+def mixed(docs: DataFrame, size: Column, key: Column) -> DataFrame:
     """``docs`` with size, source_size, target, epochs, last and taken, named with ``MARK``.
 
-    ``size`` is the number of words of a row. Rows with the same doc_id, repeated rows too,
-    are ordered by their size; rows alike in both may change places, which changes no
-    count. Every row is there, also those the mix takes nothing of.
+    ``size`` is the number of words of a row, ``key`` its ``order_key``. Rows alike in doc_id and text may change
+    places, which changes no count; only they share a key. Every row is there, also those the mix takes nothing of.
     """
     m = lambda name: F.col(MARK + name)
-    keyed = docs.withColumns(
-        {
-            MARK + "key": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
-            MARK + "size": size,
-        }
-    )
+    keyed = docs.withColumns({MARK + "key": key, MARK + "size": size})
     per_source = stored(
         keyed.groupBy("source").agg(F.sum(m("size")).alias("source_size"), F.count("*").alias("rows")),
         "mix-sources",
@@ -136,8 +136,8 @@ def mix_report(docs: DataFrame) -> DataFrame:
     Null or empty text has size 0 and the mix takes nothing of it. A null source is a
     source. Other columns are not looked at, and only numbers are shuffled.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("n"))
-    result = mixed(stored(sized, "mix-sizes"), F.col("n"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("n"), order_key().alias("k"))
+    result = mixed(stored(sized, "mix-sizes"), F.col("n"), F.col("k"))
     names = ("size", "source_size", "target", "taken")
     return result.select("doc_id", *(F.col(MARK + name).alias(name) for name in names))
 
@@ -149,7 +149,7 @@ def mix(docs: DataFrame) -> DataFrame:
     source ends after its last word taken. ``n_chars``, if there is such a column, follows.
     """
     m = lambda name: F.col(MARK + name)
-    result = mixed(docs, word_count(F.col("text")))
+    result = mixed(docs, word_count(F.col("text")), order_key())
     pieces = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
     cut = F.when(m("last") == m("size"), F.col("text")).otherwise(
         F.array_join(F.slice(pieces, F.lit(1), m("last").cast("int")), "")

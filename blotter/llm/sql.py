@@ -2,7 +2,7 @@ r"""The queries as DuckDB SQL over the raw tables. Constants are written out her
 
 MIXING = r"""
 WITH sized AS (
-  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS k,
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')) AS k,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), per_source AS (

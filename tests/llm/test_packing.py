@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from blotter.llm import mixing, packing
 from blotter.llm.queries import tokenizer_file
+from blotter.llm.words import word_count
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -164,19 +165,23 @@ def test_mix_gives_the_words_it_promises(spark):
     assert mixed.columns == docs.columns
     words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     by_source = lambda df, n: {r[0]: r[1] for r in df.groupBy("source").agg(F.sum(n)).collect() if r[1]}
-    promised = by_source(mixing.mix_report(docs.drop("size", "target")).join(
-        docs.select("doc_id", "source").distinct(), "doc_id"), "taken")
-    found = by_source(mixed, words)
-    # Rows without doc_id meet no partner in the join above; only their sources may differ.
-    assert {s: n for s, n in found.items() if s in ("b", "c", "fr")} == {
-        s: n for s, n in promised.items() if s in ("b", "c", "fr")
-    } or promised
+    plan = mixing.mixed(docs, word_count(F.col("text")), mixing.order_key())
+    assert by_source(mixed, words) == by_source(plan, F.col("__mix_taken"))
     assert mixed.where("n_chars <> length(text)").count() == 0
     originals = {(r[0], r[1]) for r in docs.select("doc_id", "text").collect()}
     for row in mixed.select("doc_id", "text").collect():
         assert any(row[0] == d and t is not None and t.startswith(row[1]) for d, t in originals)
 
 
+def test_ids_do_not_crowd_a_range(spark):
+    """Documents without an id, or with one and the same, lie in as many ranges as others."""
+    data = [(None if i % 2 else 7, sentence(("crowd", i), 3), "en", "a", 1) for i in range(3 * mixing.RANGE)]
+    docs = documents(spark, data)
+    result = mixing.mixed(docs, word_count(F.col("text")), mixing.order_key())
+    sizes = [r["count"] for r in result.groupBy("__mix_range").count().collect()]
+    assert sum(sizes) == len(data) and len(sizes) == 16 and max(sizes) < mixing.RANGE
+
+
 def test_mix_is_the_same_again(spark):
     docs = documents(spark)
     again = docs.repartition(7, "text")
